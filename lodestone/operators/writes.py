@@ -79,6 +79,19 @@ def put_delete(base: DataFrame, changes: DataFrame, key: str, seq: str = "_seq",
     return base.join(last.select(key), key, "left_anti").unionByName(puts)
 
 
+def put_newer(base: DataFrame, changes: DataFrame, key: str, seq: str = "_seq") -> DataFrame:
+    """Put only what is newer than the stored row; the base keeps its ``_seq``.
+
+    The result does not depend on how changes are cut into batches or in which order the
+    batches come.  Tombstones stay as rows with ``_op = 'remove'``, so a late older put
+    cannot bring a document back.
+    """
+    last = last_wins(changes, key, seq).select(*base.columns)
+    held = base.select(key, F.col(seq).alias("_held"))
+    fresh = last.join(held, key, "left").where(F.col("_held").isNull() | (F.col(seq) > F.col("_held"))).drop("_held")
+    return base.join(fresh.select(key), key, "left_anti").unionByName(fresh)
+
+
 def conditional_put(
     base: DataFrame, changes: DataFrame, key: str, condition: Column, *, create_if_missing: bool = False, seq: str = "_seq"
 ) -> Applied:

@@ -1 +1,6 @@
+"""Requests over one table, and the registered queries."""
 
+from lodestone.plans.registry import REGISTRY
+from lodestone.plans import documents  # noqa: F401
+
+__all__ = ["REGISTRY"]

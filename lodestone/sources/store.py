@@ -56,12 +56,19 @@ class Store:
         if batch is not None and self.has_batch(batch):
             return None
         if self.version() < 0:
-            last = writes.last_wins(changes, self.key)
-            return self.commit(last.drop("_seq", "_op"), batch)
+            return self.commit(writes.last_wins(changes, self.key).drop("_seq", "_op"), batch)
         state = self.read()
         fn = writes.put_delete if "_op" in changes.columns else writes.put
         return self.commit(fn(state, changes, self.key), batch)
 
+    def feed(self, changes: DataFrame, batch: str) -> int | None:
+        """Upsert one batch of an unbounded feed; the state keeps ``_seq`` and tombstones."""
+        if self.has_batch(batch):
+            return None
+        if self.version() < 0:
+            return self.commit(writes.last_wins(changes, self.key), batch)
+        return self.commit(writes.put_newer(self.read(), changes, self.key), batch)
+
     def dry_run(self, changes: DataFrame, valid: Column | None = None) -> DataFrame:
         """The bulk summary a put would report; nothing is written."""
         out = writes.bulk_put(self.read(), changes, self.key, valid=valid)
