@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,16 +56,20 @@ def hyperplanes(dims: int, bits: int, tables: int, seed: int = 7) -> np.ndarray:
 def with_buckets(df: DataFrame, vector: str, planes: np.ndarray) -> DataFrame:
     """Adds ``bucket_0..``: the side of each random hyperplane a vector lies on, as bits.
 
-    Written with ``partitionBy('bucket_0')`` a later search reads only the probed folders.
+    One matrix product per Arrow batch; as column arithmetic the planes would outgrow a
+    compiled method.  Written with ``partitionBy('bucket_0')`` a later search reads only
+    the probed folders.
     """
+    tables, bits, dims = planes.shape
+    flat, powers = planes.reshape(tables * bits, dims).T, 1 << np.arange(bits)
 
-    def code(table: np.ndarray) -> Column:
-        bits = [
-            F.when(vx.dot(vector, [float(x) for x in plane]) > 0, 1 << i).otherwise(0) for i, plane in enumerate(table)
-        ]
-        return vx._fold(bits)
+    @F.pandas_udf("array<int>")
+    def codes(v: pd.Series) -> pd.Series:
+        side = _matrix(v) @ flat > 0 if len(v) else np.zeros((0, tables * bits), dtype=bool)
+        return pd.Series(list((side.reshape(-1, tables, bits) * powers).sum(2).astype("i4")))
 
-    return df.withColumns({f"bucket_{t}": code(p) for t, p in enumerate(planes)})
+    out = df.withColumn("_codes", codes(vector))
+    return out.withColumns({f"bucket_{t}": F.col("_codes")[t] for t in range(tables)}).drop("_codes")
 
 
 def probes(query: Sequence[float], planes: np.ndarray, flips: int = 1) -> list[list[int]]:

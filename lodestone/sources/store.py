@@ -15,7 +15,13 @@ from lodestone.functions.updates import FieldOp
 from lodestone.operators import writes
 from lodestone.sources.tables import slice_of
 
-COMMITS = "version bigint, batch string, rows bigint, affected bigint, chunk int"
+COMMITS = "version bigint, batch string, rows bigint, affected bigint"
+
+
+def _append_row(spark: SparkSession, schema: str, row: tuple, path: str) -> None:
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    cols = [F.lit(v).cast(kind).alias(name) for (name, kind), v in zip(fields, row)]
+    spark.range(1, numPartitions=1).select(*cols).write.mode("append").parquet(path)
 
 
 class Store:
@@ -30,11 +36,16 @@ class Store:
 
     def version(self) -> int:
         """Latest committed version, -1 for an empty store (one aggregated row)."""
-        v = self.commits().agg(F.max("version")).first()[0]
-        return -1 if v is None else v
+        return self._latest(None)[0]
+
+    def _latest(self, batch: str | None) -> tuple[int, bool]:
+        """Latest version, and whether the batch is among the commits; one small job."""
+        seen = F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False))
+        row = self.commits().agg(F.coalesce(F.max("version"), F.lit(-1)), seen).first()
+        return row[0], row[1]
 
     def has_batch(self, batch: str) -> bool:
-        return not self.commits().where(F.col("batch") == batch).limit(1).isEmpty()
+        return self._latest(batch)[1]
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.version() if version is None else version
@@ -42,32 +53,36 @@ class Store:
             raise ValueError(f"empty store: {self.path}")
         return self.spark.read.parquet(f"{self.path}/v{v:08d}")
 
-    def commit(self, state: DataFrame, batch: str | None = None, affected: Observation | None = None, chunk: int | None = None) -> int:
-        """Write ``state`` as the next version."""
-        v = self.version() + 1
+    def commit(
+        self, state: DataFrame, batch: str | None = None, affected: Observation | None = None, version: int | None = None
+    ) -> int:
+        """Write ``state`` as ``version``, by default the next one."""
+        v = self.version() + 1 if version is None else version
         rows = Observation()
         state.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/v{v:08d}")
-        row = (v, batch, rows.get["rows"], affected.get["affected"] if affected is not None else None, chunk)
-        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        row = (v, batch, rows.get["rows"], affected.get["affected"] if affected is not None else None)
+        _append_row(self.spark, COMMITS, row, f"{self.path}/commits")
         return v
 
     def put(self, changes: DataFrame, batch: str | None = None) -> int | None:
         """Upsert a change table; a batch already committed changes nothing."""
-        if batch is not None and self.has_batch(batch):
-            return None
-        if self.version() < 0:
-            return self.commit(writes.last_wins(changes, self.key).drop("_seq", "_op"), batch)
-        state = self.read()
         fn = writes.put_delete if "_op" in changes.columns else writes.put
-        return self.commit(fn(state, changes, self.key), batch)
+        return self._apply(changes, batch, lambda state: fn(state, changes, self.key), keep=False)
 
     def feed(self, changes: DataFrame, batch: str) -> int | None:
         """Upsert one batch of an unbounded feed; the state keeps ``_seq`` and tombstones."""
-        if self.has_batch(batch):
+        return self._apply(changes, batch, lambda state: writes.put_newer(state, changes, self.key), keep=True)
+
+    def _apply(self, changes: DataFrame, batch: str | None, onto, keep: bool) -> int | None:
+        v, seen = self._latest(batch)
+        if seen:
             return None
-        if self.version() < 0:
-            return self.commit(writes.last_wins(changes, self.key), batch)
-        return self.commit(writes.put_newer(self.read(), changes, self.key), batch)
+        if v >= 0:
+            return self.commit(onto(self.read(v)), batch, version=v + 1)
+        first = writes.last_wins(changes, self.key)
+        if not keep:
+            first = (first.where("_op <> 'remove'") if "_op" in first.columns else first).drop("_seq", "_op")
+        return self.commit(first, batch, version=0)
 
     def dry_run(self, changes: DataFrame, valid: Column | None = None) -> DataFrame:
         """The bulk summary a put would report; nothing is written."""
@@ -137,7 +152,7 @@ class ChunkedSelection:
         )
         done.write.mode("overwrite").parquet(f"{self.path}/result/_chunk={c}")
         n = seen.get["affected"]
-        self.spark.createDataFrame([(c, n)], self.PROGRESS).coalesce(1).write.mode("append").parquet(f"{self.path}/progress")
+        _append_row(self.spark, self.PROGRESS, (c, n), f"{self.path}/progress")
         return n, (c + 1 if c + 1 < self.chunks else None)
 
     def run(self, selection: Column, ops: dict[str, FieldOp] | None) -> int:
