@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 # The token character class and its complement.
 WORD = r"[\p{L}\p{N}]"
 OTHER = r"[^\p{L}\p{N}]"
-GAP = OTHER + "+"
+GAP = OTHER + "++"
 LEFT = rf"(?<!{WORD})"
 RIGHT = rf"(?!{WORD})"
 
@@ -98,7 +98,7 @@ def tokens(c: Column | str, an: Analyzer = DEFAULT) -> Column:
 
 
 def token_count(c: Column | str, an: Analyzer = DEFAULT) -> Column:
-    return F.regexp_count(an.text(c), F.lit(WORD + "+"))
+    return F.regexp_count(an.text(c), F.lit(WORD + "++"))
 
 
 def grams(c: Column | str, n: int) -> Column:
@@ -119,21 +119,26 @@ def _query(terms: str | list[str] | tuple[str, ...], an: Analyzer) -> list[str]:
 
 
 def _matches(text: Column, needles: list[str], pattern: str) -> Column:
-    """Cheap substring tests decide most rows before the regular expression runs."""
+    """Cheap substring tests decide most rows before a costly regular expression runs."""
     cond = text.rlike(pattern)
     for t in reversed(needles):
         cond = text.contains(t) & cond
     return cond
 
 
+def _start(term: str) -> str:
+    """A term that begins a token.  The letters come first and the look-behind after them,
+    so the search skips ahead by the letters instead of testing every position."""
+    return rf"{term}(?<!{WORD}{term})"
+
+
 def _phrase_rx(q: list[str]) -> str:
-    return LEFT + (OTHER + "++").join(q) + RIGHT
+    return "".join([_start(q[0]), *[f"{GAP}{t}" for t in q[1:]], RIGHT])
 
 
 def phrase(c: Column | str, terms, an: Analyzer = DEFAULT) -> Column:
     """Terms adjacent and in order."""
-    q = _query(terms, an)
-    return _matches(an.text(c), list(dict.fromkeys(q)), _phrase_rx(q))
+    return an.text(c).rlike(_phrase_rx(_query(terms, an)))
 
 
 def contains(c: Column | str, value: str, an: Analyzer = DEFAULT) -> Column:
@@ -196,7 +201,7 @@ def text_match(c: Column | str, query: str, an: Analyzer = DEFAULT) -> Column:
     """All tokens of the analysed query present, anywhere."""
     cond = None
     for t in dict.fromkeys(_query(query, an)):
-        m = _matches(an.text(c), [t], _phrase_rx([t]))
+        m = an.text(c).rlike(_phrase_rx([t]))
         cond = m if cond is None else cond & m
     return cond
 
@@ -207,8 +212,7 @@ def equiv(c: Column | str, terms, an: Analyzer = DEFAULT) -> Column:
 
 
 def _equiv_rx(terms, an: Analyzer) -> str:
-    alternatives = [(OTHER + "++").join(_query(t, an)) for t in terms]
-    return LEFT + "(?:" + "|".join(alternatives) + ")" + RIGHT
+    return "(?:" + "|".join(_phrase_rx(_query(t, an)) for t in terms) + ")"
 
 
 def near(c: Column | str, terms, distance: int = 2, an: Analyzer = DEFAULT) -> Column:
@@ -219,7 +223,7 @@ def near(c: Column | str, terms, distance: int = 2, an: Analyzer = DEFAULT) -> C
     """
     q = list(dict.fromkeys(_query(terms, an)))
     skip = rf"(?:{WORD}++{OTHER}++){{0,{distance}}}"
-    start = LEFT + "(?=(?:" + "|".join(q) + ")" + RIGHT + ")"
+    start = "(?=(?:" + "|".join(q) + ")" + RIGHT + ")" + LEFT
     return _matches(an.text(c), q, start + "".join(f"(?={skip}{t}{RIGHT})" for t in q))
 
 
@@ -241,7 +245,7 @@ def onear(c: Column | str, terms, distance: int = 2, an: Analyzer = DEFAULT) ->
         ]
         return "(?:" + "|".join(steps) + ")"
 
-    return _matches(an.text(c), list(dict.fromkeys(q)), LEFT + q[0] + RIGHT + rest(1, distance))
+    return _matches(an.text(c), list(dict.fromkeys(q)), _start(q[0]) + RIGHT + rest(1, distance))
 
 
 def _close(t: Column, term: str, max_edits: int, prefix_length: int) -> Column:
@@ -299,11 +303,8 @@ def any_field(predicate, *fields) -> Column:
 
 def term_count(c: Column | str, term, an: Analyzer = DEFAULT) -> Column:
     """Occurrences of a term (a phrase, or a list of synonyms counted as one)."""
-    text = an.text(c)
-    if isinstance(term, (list, tuple)):
-        return F.regexp_count(text, F.lit(_equiv_rx(term, an)))
-    q = _query(term, an)
-    return F.when(text.contains(q[0]), F.regexp_count(text, F.lit(_phrase_rx(q)))).otherwise(F.lit(0))
+    rx = _equiv_rx(term, an) if isinstance(term, (list, tuple)) else _phrase_rx(_query(term, an))
+    return F.regexp_count(an.text(c), F.lit(rx))
 
 
 def highlight(c: Column | str, terms) -> Column:

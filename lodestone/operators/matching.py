@@ -92,51 +92,81 @@ def rank_of(df: DataFrame, first: Column, **features: Column) -> DataFrame:
 # -- rules carried by documents, many queries ---------------------------------------------------
 
 
-def match_rules(
-    rules: DataFrame, rule_key: str, rule_column: str, queries: DataFrame, attrs: str, ranges: str, width: int = 100
-) -> DataFrame:
-    """All (rule row, query row) pairs where the rule accepts the query.
+# Fixed bounds of range routing: a cell level is 16 times as wide as the one below it.
+CELL_BITS = 4
+CELL_LEVELS = 8
+
+
+def _cell(value: Column, level: Column) -> Column:
+    return F.concat_ws(":", level.cast("string"), F.call_function("shiftright", value, level * CELL_BITS).cast("string"))
+
+
+def _route(*parts: Column) -> Column:
+    return F.concat_ws("\u0001", *parts)
 
-    Each rule is routed by one positive condition: its first value list, else its first
-    range cut into cells of ``width``.  A query is routed by every attribute it carries,
-    so one equality join on (attribute, value or cell) finds the candidates, and the whole
-    rule is checked on them.  A hot value is split by the adaptive skew join.  Rules with
-    negated conditions only have no such key and are sent under one common key.
 
-    ``queries`` may be a stream, ``rules`` a stored table.
+def _rule_routes(rules: Column) -> Column:
+    """Route keys of one rule: its first value list x the cells of its first range.
+
+    A range takes the finest level on which it has at most 17 cells; one too wide for the
+    coarsest level is routed by its attribute alone.
     """
-    r = F.col(rule_column)
-    listed = F.filter(r, lambda e: e["values"].isNotNull() & ~e["negate"])
-    ranged = F.filter(r, lambda e: e["values"].isNull())
-    cells = lambda e: F.transform(
-        F.sequence(F.floor(e["lo"] / width), F.floor(e["hi"] / width)),
-        lambda b: F.concat_ws("\u0001", F.lit("r"), e["attr"], b.cast("string")),
-    )
-    first_list, first_range = F.get(listed, F.lit(0)), F.get(ranged, F.lit(0))
-    routes = (
-        F.when(
-            F.size(listed) > 0,
-            F.transform(
-                F.array_distinct(first_list["values"]),
-                lambda v: F.concat_ws("\u0001", F.lit("v"), first_list["attr"], v),
-            ),
-        )
-        .when((F.size(ranged) > 0) & (first_range["lo"] <= first_range["hi"]), cells(first_range))
-        .when(F.size(ranged) > 0, F.array().cast("array<string>"))
-        .otherwise(F.array(F.lit("*")))
-    )
-    routed = rules.select("*", F.explode(routes).alias("_route"))
-    asked = F.concat(
-        F.transform(F.map_entries(attrs), lambda e: F.concat_ws("\u0001", F.lit("v"), e["key"], e["value"])),
+    listed = F.get(F.filter(rules, lambda e: e["values"].isNotNull() & ~e["negate"]), F.lit(0))
+    ranged = F.get(F.filter(rules, lambda e: e["values"].isNull()), F.lit(0))
+    span = ranged["hi"].cast("double") - ranged["lo"].cast("double")
+    level = None
+    for n in range(CELL_LEVELS):
+        cond = span < float(1 << (CELL_BITS * (n + 1)))
+        level = F.when(cond, n) if level is None else level.when(cond, n)
+    shift = lambda c: F.call_function("shiftright", c, level * CELL_BITS)
+    cells = F.when(span < 0, F.array().cast("array<string>")).when(
+        level.isNotNull(),
         F.transform(
-            F.map_entries(ranges),
-            lambda e: F.concat_ws("\u0001", F.lit("r"), e["key"], F.floor(e["value"] / width).cast("string")),
+            F.sequence(shift(ranged["lo"]), shift(ranged["hi"])),
+            lambda c: _route(ranged["attr"], F.concat_ws(":", level.cast("string"), c.cast("string"))),
         ),
-        F.array(F.lit("*")),
+    ).otherwise(F.array(_route(ranged["attr"], F.lit("*"))))
+    range_part = F.when(ranged.isNotNull(), cells).otherwise(F.array(F.lit("-")))
+    list_part = F.when(
+        listed.isNotNull(), F.transform(F.array_distinct(listed["values"]), lambda v: _route(listed["attr"], v))
+    ).otherwise(F.array(F.lit("-")))
+    return _product(list_part, range_part)
+
+
+def _query_routes(attrs: Column, ranges: Column) -> Column:
+    """Every key a rule that accepts the query can have."""
+    lists = F.transform(F.map_entries(attrs), lambda e: _route(e["key"], e["value"]))
+    levels = F.sequence(F.lit(0), F.lit(CELL_LEVELS - 1))
+    cells = F.flatten(
+        F.transform(
+            F.map_entries(ranges),
+            lambda e: F.concat(
+                F.transform(levels, lambda n: _route(e["key"], _cell(e["value"], n))), F.array(_route(e["key"], F.lit("*")))
+            ),
+        )
     )
-    q = queries.select("*", F.explode(asked).alias("_route"))
-    # one route per rule and value, so a pair meets at most once
-    return q.join(routed, "_route").where(rule_holds(r, F.col(attrs), F.col(ranges))).drop("_route")
+    none = F.array(F.lit("-"))
+    return _product(F.concat(lists, none), F.concat(cells, none))
+
+
+def _product(a: Column, b: Column) -> Column:
+    return F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.concat_ws("\u0002", x, y))))
+
+
+def match_rules(
+    rules: DataFrame, rule_key: str, rule_column: str, queries: DataFrame, attrs: str, ranges: str
+) -> DataFrame:
+    """All (query row, rule row) pairs where the rule accepts the query.
+
+    One equality join on route keys finds the candidates and the whole rule is checked on
+    them.  A key holds a value list and a range cell together, so the candidates are close
+    to the result and a hot value is cut up by its ranges; what stays hot is split by the
+    adaptive skew join.  ``queries`` may be a stream, ``rules`` a stored table.
+    """
+    routed = rules.select("*", F.explode(_rule_routes(F.col(rule_column))).alias("_route"))
+    asked = queries.select("*", F.explode(_query_routes(F.col(attrs), F.col(ranges))).alias("_route"))
+    # a rule's keys differ from each other and so do a query's: no pair meets twice
+    return asked.join(routed, "_route").where(rule_holds(rule_column, F.col(attrs), F.col(ranges))).drop("_route")
 
 
 # -- user queries -------------------------------------------------------------------------------
