@@ -11,7 +11,7 @@ from pyspark.sql.types import BooleanType
 from lodestone.functions import text as tx
 from lodestone.functions.predicates import rule_holds
 from lodestone.functions.text import DEFAULT, Analyzer, as_col
-from lodestone.session import small_side
+from lodestone.session import cut, small_side
 
 
 def range_hit_limit(df: DataFrame, key: str, field: str, lo, hi, hit_limit: int) -> DataFrame:
@@ -216,7 +216,8 @@ def match_queries(
     asked = queries.select(query_key, F.array_distinct(tx.tokens(query, an)).alias("_terms")).where(F.size("_terms") > 0)
     vocabulary = asked.select(F.explode("_terms").alias("_term")).distinct()
     pairs = docs.select(key, F.explode(F.array_distinct(tx.tokens(field, an))).alias("_term"))
-    known = pairs.join(small_side(vocabulary), "_term", "left_semi")
+    # used three times below, so the texts are tokenised once and the pairs kept
+    known = cut(pairs.join(small_side(vocabulary), "_term", "left_semi"))
     df_count = known.groupBy("_term").agg(F.count(F.lit(1)).alias("_df"))
     # terms no document has stay with count 0 and make their query empty
     rarest = (

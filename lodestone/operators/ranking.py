@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as tx
 from lodestone.functions.text import DEFAULT, Analyzer, as_col
-from lodestone.session import BROADCAST_ROWS
+from lodestone.session import BROADCAST_ROWS, cut
 
 # The usual BM25 parameters.
 K1, B = 1.2, 0.75
@@ -65,32 +65,64 @@ def bm25(
         out = out.where(hit)
     s = packed.scalar()
     out = out.withColumn("_s", s).withColumn("_len", tx.token_count(text, an) if length is None else length)
-    score = F.lit(0.0)
-    for i, t in enumerate(terms):
-        tf = tx.term_count(text, t, an).cast("double")
-        df = F.col("_s")[f"df{i}"]
-        idf = F.ln(1 + (F.col("_s")["n"] - df + 0.5) / (df + 0.5))
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_s")["avg_len"]))
+    score = _bm25_sum([tx.term_count(text, t, an) for t in terms], F.col("_len"), F.col("_s"))
     return out.withColumn(name, score).drop("_s", "_len")
 
 
+def text_features(
+    docs: DataFrame, key: str, text: Column | str, terms: Sequence, an: Analyzer = DEFAULT, where: Column | None = None,
+    length: Column | None = None,
+) -> DataFrame:
+    """Per document the token count and each term's count: all that BM25 needs of a text.
+
+    ``_in`` marks the rows that may be hits.
+    """
+    return docs.select(
+        key,
+        (F.lit(True) if where is None else F.coalesce(where, F.lit(False))).alias("_in"),
+        (tx.token_count(text, an) if length is None else length).alias("_len"),
+        *[tx.term_count(text, t, an).alias(f"_tf{i}") for i, t in enumerate(terms)],
+    )
+
+
+def score_features(features: DataFrame, n_terms: int, all_terms: bool = False, name: str = "relevance") -> DataFrame:
+    """BM25 from a feature table: statistics over all its rows, scores for the hits."""
+    tfs = [F.col(f"_tf{i}") for i in range(n_terms)]
+    stats = features.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avg_len"),
+            *[F.count_if(tf > 0).alias(f"df{i}") for i, tf in enumerate(tfs)],
+        ).alias("s")
+    )
+    held = [(tf > 0).cast("int") for tf in tfs]
+    matched = sum(held[1:], held[0]) >= (n_terms if all_terms else 1)
+    hits = features.where(F.col("_in") & matched).withColumn("_s", stats.scalar())
+    return hits.withColumn(name, _bm25_sum(tfs, F.col("_len"), F.col("_s"))).drop("_s")
+
+
+def _bm25_sum(tfs: Sequence[Column], length: Column, s: Column) -> Column:
+    score = F.lit(0.0)
+    for i, tf in enumerate(tfs):
+        df, tf = s[f"df{i}"], tf.cast("double")
+        idf = F.ln(1 + (s["n"] - df + 0.5) / (df + 0.5))
+        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / s["avg_len"]))
+    return score
+
+
 def weak_and(
-    docs: DataFrame,
-    key: str,
-    text: Column | str,
-    terms: Sequence,
-    target_hits: int = 100,
-    replace_by_and: bool = False,
-    **options,
+    docs: DataFrame, key: str, text: Column | str, terms: Sequence, target_hits: int = 100, replace_by_and: bool = False,
+    where: Column | None = None, an: Analyzer = DEFAULT, length: Column | None = None,
 ) -> DataFrame:
-    """Any operand matches, best ``target_hits`` by BM25; the switch demands all operands."""
-    where = options.pop("where", None)
-    if replace_by_and:
-        for t in terms:
-            h = _has(text, t, options.get("an", DEFAULT))
-            where = h if where is None else where & h
-    scored = bm25(docs, text, terms, name="relevance", where=where, **options)
-    return scored.orderBy(F.col("relevance").desc(), F.col(key).asc()).limit(target_hits)
+    """Any operand matches, best ``target_hits`` by BM25; the switch demands all operands.
+
+    The texts are read once: statistics and scores both come from the small feature table,
+    which is cut to reliable storage.  The winners fetch their other columns in a second
+    scan that reads the text only if the caller selects it.
+    """
+    features = cut(text_features(docs, key, text, terms, an, where, length))
+    scored = score_features(features, len(terms), replace_by_and).select(key, "relevance")
+    top = scored.orderBy(F.col("relevance").desc(), F.col(key).asc()).limit(target_hits)
+    return docs.join(_bounded(top, target_hits), key)
 
 
 def freshness(ts: Column | str, now: str) -> Column:

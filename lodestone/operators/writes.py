@@ -87,7 +87,7 @@ def put_newer(base: DataFrame, changes: DataFrame, key: str, seq: str = "_seq")
     cannot bring a document back.
     """
     last = last_wins(changes, key, seq).select(*base.columns)
-    held = base.select(key, F.col(seq).alias("_held"))
+    held = base.select(key, F.col(seq).alias("_held")).join(last.select(key), key)
     fresh = last.join(held, key, "left").where(F.col("_held").isNull() | (F.col(seq) > F.col("_held"))).drop("_held")
     return base.join(fresh.select(key), key, "left_anti").unionByName(fresh)
 
@@ -126,6 +126,12 @@ def _judge(base, changes, key, condition, create_if_missing, seq):
     return last, held, created, errors
 
 
+def _stored(base: DataFrame, changed: DataFrame, key: str, ok: Column) -> DataFrame:
+    """Changed keys that are stored, with ``_ok``.  The inner join lets a small change
+    table be broadcast; what comes back is no larger than it."""
+    return base.join(changed, key).select(key, F.coalesce(ok, F.lit(False)).alias("_ok"))
+
+
 def update_fields(
     base: DataFrame, changes: DataFrame, key: str, ops: Mapping[str, FieldOp], *, condition: Column | None = None,
     create_if_missing: bool = False,
@@ -133,31 +139,30 @@ def update_fields(
     """Apply field operations to every document named in ``changes``.
 
     Operands may be ``F.col('new_<name>')``, columns of the change row.  All operations of
-    a document happen in one projection.
+    a document happen in one projection.  The base side is left-joined, so a small change
+    table never makes it shuffle; documents to create are found among the changes.
     """
     single, errors = _split_duplicates(changes, key)
     new = single.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"new_{c}") for c in single.columns if c != key])
-    joined = base.withColumn("_stored", F.lit(True)).join(new, key, "full_outer" if create_if_missing else "left")
-    ok = F.coalesce(F.col("_hit"), F.lit(False))
-    if condition is not None:
-        holds = F.coalesce(condition, F.lit(False))
-        ok = ok & (F.col("_stored").isNull() | holds if create_if_missing else holds)
     types = dict(base.dtypes)
-    state = joined.select(
-        *[
-            F.when(ok, ops[c](F.col(c)).cast(types[c])).otherwise(F.col(c)).alias(c) if c in ops else F.col(c)
-            for c in base.columns
-        ]
-    )
-    if not create_if_missing or condition is not None:
-        present = base.join(new, key).select(
-            key, (F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))).alias("_ok")
+
+    def applied(rows: DataFrame, ok: Column) -> DataFrame:
+        return rows.select(
+            *[
+                F.when(ok, ops[c](F.col(c)).cast(types[c])).otherwise(F.col(c)).alias(c) if c in ops else F.col(c)
+                for c in base.columns
+            ]
         )
-        verdict = new.select(key).join(present, key, "left")
-        errors = errors.unionByName(_failed(verdict.where(F.col("_ok") == F.lit(False)), key, "condition not met"))
-        if not create_if_missing:
-            errors = errors.unionByName(_failed(verdict.where(F.col("_ok").isNull()), key, "document does not exist"))
-    return Applied(state, errors)
+
+    holds = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
+    state = applied(base.join(new, key, "left"), F.coalesce(F.col("_hit"), F.lit(False)) & holds)
+    verdict = new.join(_stored(base, new, key, holds), key, "left")
+    errors = errors.unionByName(_failed(verdict.where(F.col("_ok") == F.lit(False)), key, "condition not met"))
+    absent = verdict.where(F.col("_ok").isNull())
+    if not create_if_missing:
+        return Applied(state, errors.unionByName(_failed(absent, key, "document does not exist")))
+    blank = absent.withColumns({c: F.lit(None).cast(types[c]) for c in base.columns if c != key})
+    return Applied(state.unionByName(applied(blank, F.lit(True))), errors)
 
 
 # Names of operations as they stand in a change table, for numeric and assigned fields.
@@ -203,21 +208,26 @@ def bulk_update(
         F.lit(400).alias("status"),
     )
     good = folded.where(~bad).select(key, *[f"_u_{f}" for f in fields])
-    joined = base.withColumn("_stored", F.lit(True)).join(good, key, "full_outer" if create_if_missing else "left")
     types = dict(base.dtypes)
-    state = joined.select(
-        *[
-            F.when(F.col(f"_u_{c}").isNull(), F.col(c))
-            .otherwise(_apply_named(F.col(f"_u_{c}.op"), F.col(c), F.col(f"_u_{c}.value"), types[c]))
-            .alias(c)
-            if c in fields
-            else F.col(c)
-            for c in base.columns
-        ]
-    )
-    if not create_if_missing:
-        errors = errors.unionByName(_failed(good.join(base.select(key), key, "left_anti"), key, "document does not exist"))
-    return Applied(state, errors)
+
+    def applied(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *[
+                F.when(F.col(f"_u_{c}").isNull(), F.col(c))
+                .otherwise(_apply_named(F.col(f"_u_{c}.op"), F.col(c), F.col(f"_u_{c}.value"), types[c]))
+                .alias(c)
+                if c in fields
+                else F.col(c)
+                for c in base.columns
+            ]
+        )
+
+    state = applied(base.join(good, key, "left"))
+    absent = good.join(_stored(base, good.select(key), key, F.lit(True)), key, "left_anti")
+    if create_if_missing:
+        blank = absent.withColumns({c: F.lit(None).cast(types[c]) for c in base.columns if c != key})
+        return Applied(state.unionByName(applied(blank)), errors)
+    return Applied(state, errors.unionByName(_failed(absent, key, "document does not exist")))
 
 
 # -- selection-wide ------------------------------------------------------------------------------

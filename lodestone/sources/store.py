@@ -15,7 +15,10 @@ from lodestone.functions.updates import FieldOp
 from lodestone.operators import writes
 from lodestone.sources.tables import slice_of
 
-COMMITS = "version bigint, batch string, rows bigint, affected bigint"
+COMMITS = "version bigint, kind string, batch string, rows bigint, affected bigint"
+
+# Deltas a reader may have to merge before the store is compacted.
+MAX_DELTAS = 20
 
 
 def _append_row(spark: SparkSession, schema: str, row: tuple, path: str) -> None:
@@ -25,6 +28,8 @@ def _append_row(spark: SparkSession, schema: str, row: tuple, path: str) -> None
 
 
 class Store:
+    """Versions are whole states (``base``) or the changes of one feed batch (``delta``)."""
+
     def __init__(self, spark: SparkSession, path: str, key: str):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
 
@@ -34,55 +39,78 @@ class Store:
         except AnalysisException:
             return self.spark.createDataFrame([], COMMITS)
 
-    def version(self) -> int:
-        """Latest committed version, -1 for an empty store (one aggregated row)."""
-        return self._latest(None)[0]
-
-    def _latest(self, batch: str | None) -> tuple[int, bool]:
-        """Latest version, and whether the batch is among the commits; one small job."""
+    def _latest(self, batch: str | None = None) -> tuple[int, int, bool]:
+        """Latest version, latest whole state, whether the batch is committed; one small job."""
         seen = F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False))
-        row = self.commits().agg(F.coalesce(F.max("version"), F.lit(-1)), seen).first()
-        return row[0], row[1]
+        base = F.max(F.when(F.col("kind") == "base", F.col("version")))
+        last = F.coalesce(F.max("version"), F.lit(-1))
+        return tuple(self.commits().agg(last, F.coalesce(base, F.lit(-1)), seen).first())
+
+    def version(self) -> int:
+        """Latest committed version, -1 for an empty store."""
+        return self._latest()[0]
 
     def has_batch(self, batch: str) -> bool:
-        return self._latest(batch)[1]
+        return self._latest(batch)[2]
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/v{version:08d}"
+
+    def read(self) -> DataFrame:
+        """The current state: the last whole state with the later deltas merged in."""
+        return self._state(*self._latest()[:2])
 
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.version() if version is None else version
-        if v < 0:
+    def _state(self, last: int, base: int) -> DataFrame:
+        if last < 0:
             raise ValueError(f"empty store: {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v{v:08d}")
+        deltas = [self._folder(v) for v in range(base + 1, last + 1)]
+        if base < 0:
+            return writes.last_wins(self.spark.read.parquet(*deltas), self.key)
+        state = self.spark.read.parquet(self._folder(base))
+        return writes.put_newer(state, self.spark.read.parquet(*deltas), self.key) if deltas else state
 
     def commit(
-        self, state: DataFrame, batch: str | None = None, affected: Observation | None = None, version: int | None = None
+        self, state: DataFrame, batch: str | None = None, affected: Observation | None = None, version: int | None = None,
+        kind: str = "base",
     ) -> int:
         """Write ``state`` as ``version``, by default the next one."""
         v = self.version() + 1 if version is None else version
         rows = Observation()
-        state.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/v{v:08d}")
-        row = (v, batch, rows.get["rows"], affected.get["affected"] if affected is not None else None)
+        state.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self._folder(v))
+        row = (v, kind, batch, rows.get["rows"], affected.get["affected"] if affected is not None else None)
         _append_row(self.spark, COMMITS, row, f"{self.path}/commits")
         return v
 
     def put(self, changes: DataFrame, batch: str | None = None) -> int | None:
         """Upsert a change table; a batch already committed changes nothing."""
-        fn = writes.put_delete if "_op" in changes.columns else writes.put
-        return self._apply(changes, batch, lambda state: fn(state, changes, self.key), keep=False)
+        last, base, seen = self._latest(batch)
+        if seen:
+            return None
+        if last >= 0:
+            fn = writes.put_delete if "_op" in changes.columns else writes.put
+            return self.commit(fn(self._state(last, base), changes, self.key), batch, version=last + 1)
+        first = writes.last_wins(changes, self.key)
+        first = (first.where("_op <> 'remove'") if "_op" in first.columns else first).drop("_seq", "_op")
+        return self.commit(first, batch, version=0)
 
     def feed(self, changes: DataFrame, batch: str) -> int | None:
-        """Upsert one batch of an unbounded feed; the state keeps ``_seq`` and tombstones."""
-        return self._apply(changes, batch, lambda state: writes.put_newer(state, changes, self.key), keep=True)
+        """One batch of an unbounded feed: only its changes are written, never the state.
 
-    def _apply(self, changes: DataFrame, batch: str | None, onto, keep: bool) -> int | None:
-        v, seen = self._latest(batch)
+        The stored rows keep ``_seq``, and tombstones where there is an ``_op``, so readers
+        can merge the deltas in any order.  Every ``MAX_DELTAS`` batches they are folded
+        into a whole state.
+        """
+        last, base, seen = self._latest(batch)
         if seen:
             return None
-        if v >= 0:
-            return self.commit(onto(self.read(v)), batch, version=v + 1)
-        first = writes.last_wins(changes, self.key)
-        if not keep:
-            first = (first.where("_op <> 'remove'") if "_op" in first.columns else first).drop("_seq", "_op")
-        return self.commit(first, batch, version=0)
+        v = self.commit(writes.last_wins(changes, self.key), batch, version=last + 1, kind="delta")
+        if v - base >= MAX_DELTAS:
+            self.compact()
+        return v
+
+    def compact(self) -> int:
+        last, base, _ = self._latest()
+        return self.commit(self._state(last, base), version=last + 1)
 
     def dry_run(self, changes: DataFrame, valid: Column | None = None) -> DataFrame:
         """The bulk summary a put would report; nothing is written."""
