@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.aggregates import _checked
 from lodestone.functions.text import as_col
-from lodestone.operators.order import number_rows
+from lodestone.operators.order import number_rows, top
 from lodestone.session import cut
 
 DEFAULT_MAX_GROUPS = 10
@@ -39,7 +39,7 @@ def group_by(
         df = df.dropna(subset=list(keys))
     out = df.groupBy(*keys).agg(*[c.alias(n) for n, c in outputs.items()])
     if max_groups is not None:
-        out = out.orderBy(*order, *[F.col(k).asc() for k in keys]).limit(max_groups)
+        out = top(out, [*order, *[F.col(k).asc() for k in keys]], max_groups)
     return out
 
 
@@ -108,6 +108,8 @@ def nested_groups(df: DataFrame, levels: Sequence[Level]) -> list[DataFrame]:
             g = g.join(kept, names[:i], "left_semi")
         if lv.max_groups is not None:
             g = top_groups(g, names[:i], lv.name, lv.order, lv.max_groups)
+            # few rows, read again by every deeper level: keep them instead of rescanning
+            g = cut(g) if i + 1 < len(levels) else g
             kept = g.select(*path)
         elif kept is not None:
             kept = g.select(*path)
@@ -119,7 +121,7 @@ def top_groups(groups: DataFrame, parents: Sequence[str], key: str, order: Seque
     """Best ``n`` groups per parent: order expression, then group value."""
     by = [*order, F.col(key).asc()]
     if not parents:
-        return groups.orderBy(*by).limit(n)
+        return top(groups, by, n)
     w = Window.partitionBy(*parents).orderBy(*by)
     return groups.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
@@ -166,7 +168,7 @@ def group_pages(groups: DataFrame, order: Sequence[Column], page_size: int) -> D
 def group_page_after(groups: DataFrame, key: str, last, page_size: int) -> DataFrame:
     """Resume after the last group value seen."""
     rest = groups if last is None else groups.where(F.col(key) > F.lit(last))
-    return rest.orderBy(key).limit(page_size)
+    return top(rest, [F.col(key).asc()], page_size)
 
 
 def groups_and_hits(
@@ -175,7 +177,7 @@ def groups_and_hits(
 ) -> dict[str, DataFrame]:
     """Hits, groups and total of one request over the same matched rows."""
     return {
-        "hits": matched.orderBy(*order).limit(hits),
+        "hits": top(matched, order, hits),
         "groups": group_by(matched, keys, outputs, **options),
         "total": matched.agg(F.count(F.lit(1)).alias("total_count")),
     }

@@ -11,6 +11,7 @@ from pyspark.sql.types import BooleanType
 from lodestone.functions import text as tx
 from lodestone.functions.predicates import rule_holds
 from lodestone.functions.text import DEFAULT, Analyzer, as_col
+from lodestone.operators.order import top
 from lodestone.session import cut, small_side
 
 
@@ -18,7 +19,7 @@ def range_hit_limit(df: DataFrame, key: str, field: str, lo, hi, hit_limit: int)
     """Inclusive range cut to its ``|hit_limit|`` smallest (negative: largest) values."""
     inside = df.where(F.col(field).between(lo, hi))
     first = F.col(field).asc() if hit_limit > 0 else F.col(field).desc()
-    return inside.orderBy(first, F.col(key).asc()).limit(abs(hit_limit))
+    return top(inside, [first, F.col(key).asc()], abs(hit_limit))
 
 
 def in_table(df: DataFrame, field: str, values: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def wand(
 ) -> DataFrame:
     """Top ``target_hits`` by a dot product, above an optional threshold."""
     out = df.withColumn("relevance", score).where(F.col("relevance") > (score_threshold or 0))
-    return out.orderBy(F.col("relevance").desc(), F.col(key).asc()).limit(target_hits)
+    return top(out, [F.col("relevance").desc(), F.col(key).asc()], target_hits)
 
 
 def rank_of(df: DataFrame, first: Column, **features: Column) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import vectors as vx
+from lodestone.operators.order import top
 from lodestone.operators.ranking import bm25, corpus_stats
 from lodestone.session import at_most
 
@@ -43,7 +44,7 @@ def nearest(
     if threshold is not None:
         out = out.where(F.col(label) >= threshold if higher else F.col(label) <= threshold)
     first = F.col(label).desc() if higher else F.col(label).asc()
-    return out.orderBy(first, F.col(key).asc()).limit(k)
+    return top(out, [first, F.col(key).asc()], k)
 
 
 # -- approximate: random hyperplane buckets ----------------------------------------------------
@@ -201,9 +202,9 @@ def nearest_join(
 
         partial = qq.groupBy("qb", "bb").cogroup(bb.groupBy("qb", "bb")).applyInArrow(block, schema)
     w = Window.partitionBy("q_id").orderBy("distance", "b_id")
-    top = partial.withColumn("hit_rank", F.row_number().over(w)).where(F.col("hit_rank") <= k)
+    best = partial.withColumn("hit_rank", F.row_number().over(w)).where(F.col("hit_rank") <= k)
     sign = -F.col("distance") if metric == "dotproduct" else F.col("distance")
-    return top.select(
+    return best.select(
         F.col("q_id").alias("query_id"), F.col("b_id").alias("neighbour_id"), sign.alias("distance"), "hit_rank"
     )
 

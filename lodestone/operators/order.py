@@ -35,10 +35,20 @@ def locale_order(field: str, locale: str, strength: str | None = None, descendin
     return key.desc() if descending else key.asc()
 
 
-def hits(df: DataFrame, order: Sequence[Column], hits: int = 10, offset: int = 0) -> DataFrame:
-    """One result page; a bounded top-k kept by every task, never a full sort."""
+def top(df: DataFrame, order: Sequence[Column], n: int, offset: int = 0) -> DataFrame:
+    """Best ``n`` rows: every task keeps a bounded heap, nothing is sorted whole.
+
+    The rows are in one partition already, so ``coalesce`` costs nothing; it keeps later
+    projections from being moved below the limit, where they would run on every row and
+    turn the heap into a full sort.
+    """
     out = df.orderBy(*order)
-    return (out.offset(offset) if offset else out).limit(hits)
+    return (out.offset(offset) if offset else out).limit(n).coalesce(1)
+
+
+def hits(df: DataFrame, order: Sequence[Column], hits: int = 10, offset: int = 0) -> DataFrame:
+    """One result page."""
+    return top(df, order, hits, offset)
 
 
 def by_relevance(df: DataFrame, key: str, score: str = "relevance") -> list[Column]:
@@ -86,7 +96,7 @@ def pages(df: DataFrame, order: Sequence[Column], page_size: int = 100) -> DataF
 def page_after(df: DataFrame, key: str, last, page_size: int = 100) -> DataFrame:
     """The page after ``last`` in key order (``None``: the first); a pushed-down seek."""
     rest = df if last is None else df.where(F.col(key) > F.lit(last))
-    return rest.orderBy(key).limit(page_size)
+    return top(rest, [F.col(key).asc()], page_size)
 
 
 def hit_stream(df: DataFrame, order: Sequence[Column]):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as tx
 from lodestone.functions.text import DEFAULT, Analyzer, as_col
+from lodestone.operators.order import top
 from lodestone.session import BROADCAST_ROWS, cut
 
 # The usual BM25 parameters.
@@ -121,8 +122,8 @@ def weak_and(
     """
     features = cut(text_features(docs, key, text, terms, an, where, length))
     scored = score_features(features, len(terms), replace_by_and).select(key, "relevance")
-    top = scored.orderBy(F.col("relevance").desc(), F.col(key).asc()).limit(target_hits)
-    return docs.join(_bounded(top, target_hits), key)
+    best = top(scored, [F.col("relevance").desc(), F.col(key).asc()], target_hits)
+    return docs.join(_bounded(best, target_hits), key)
 
 
 def freshness(ts: Column | str, now: str) -> Column:
@@ -140,9 +141,9 @@ def first_phase(df: DataFrame, score: Column, drop_below: float | None = None) -
     return out if drop_below is None else out.where(F.col("relevance") >= drop_below)
 
 
-def _bounded(top: DataFrame, count: int) -> DataFrame:
-    """``top`` has at most ``count`` rows; only a small count is worth a broadcast."""
-    return F.broadcast(top) if count <= BROADCAST_ROWS else top
+def _bounded(best: DataFrame, count: int) -> DataFrame:
+    """``best`` has at most ``count`` rows; only a small count is worth a broadcast."""
+    return F.broadcast(best) if count <= BROADCAST_ROWS else best
 
 
 def rerank(df: DataFrame, key: str, score: Column, count: int, phase: int = 2) -> DataFrame:
@@ -154,8 +155,8 @@ def rerank(df: DataFrame, key: str, score: Column, count: int, phase: int = 2) -
     """
     if "phase" not in df.columns:
         df = df.withColumn("phase", F.lit(1))
-    top = df.orderBy(*phase_order(key)).limit(count).select(key, F.lit(True).alias("_top"))
-    out = df.join(_bounded(top, count), key, "left")
+    best = top(df, phase_order(key), count).select(key, F.lit(True).alias("_top"))
+    out = df.join(_bounded(best, count), key, "left")
     return (
         out.withColumn("relevance", F.when(F.col("_top"), score.cast("double")).otherwise(F.col("relevance")))
         .withColumn("phase", F.when(F.col("_top"), phase).otherwise(F.col("phase")))
@@ -170,15 +171,15 @@ def phase_order(key: str) -> list[Column]:
 
 def keep_rank(df: DataFrame, key: str, count: int) -> DataFrame:
     """Only the best ``count`` rows keep their score; the others stay, unscored."""
-    top = df.orderBy(F.col("relevance").desc(), F.col(key).asc()).limit(count).select(key, F.lit(True).alias("_keep"))
-    out = df.join(_bounded(top, count), key, "left")
+    best = top(df, [F.col("relevance").desc(), F.col(key).asc()], count).select(key, F.lit(True).alias("_keep"))
+    out = df.join(_bounded(best, count), key, "left")
     return out.withColumn("relevance", F.when(F.col("_keep"), F.col("relevance"))).drop("_keep")
 
 
 def match_phase(df: DataFrame, key: str, attribute: str, max_hits: int, ascending: bool = False) -> DataFrame:
     """The best ``max_hits`` by an attribute go on to scoring."""
     first = F.col(attribute).asc() if ascending else F.col(attribute).desc()
-    return df.orderBy(first, F.col(key).asc()).limit(max_hits)
+    return top(df, [first, F.col(key).asc()], max_hits)
 
 
 def match_phase_diverse(
