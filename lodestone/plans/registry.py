@@ -50,4 +50,4 @@ def sql_tokens(c: str) -> str:
 
 
 TOK = sql_tokens("lower(text)")
-EN_DOCS = "documents"
+
