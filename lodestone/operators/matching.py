@@ -97,6 +97,9 @@ def rank_of(df: DataFrame, first: Column, **features: Column) -> DataFrame:
 CELL_BITS = 4
 CELL_LEVELS = 8
 
+# Most kinds of route key that are spelled out one by one on the query side.
+MAX_SHAPES = 64
+
 
 def _cell(value: Column, level: Column) -> Column:
     return F.concat_ws(":", level.cast("string"), F.call_function("shiftright", value, level * CELL_BITS).cast("string"))
@@ -106,21 +109,31 @@ def _route(*parts: Column) -> Column:
     return F.concat_ws("\u0001", *parts)
 
 
-def _rule_routes(rules: Column) -> Column:
-    """Route keys of one rule: its first value list x the cells of its first range.
+def _is_list(e: Column) -> Column:
+    return e["values"].isNotNull() & ~e["negate"]
 
-    A range takes the finest level on which it has at most 17 cells; one too wide for the
-    coarsest level is routed by its attribute alone.
-    """
-    listed = F.get(F.filter(rules, lambda e: e["values"].isNotNull() & ~e["negate"]), F.lit(0))
-    ranged = F.get(F.filter(rules, lambda e: e["values"].isNull()), F.lit(0))
+
+def _is_range(e: Column) -> Column:
+    return e["values"].isNull()
+
+
+def _range_level(ranged: Column) -> Column:
+    """Finest level on which the range has at most 17 cells; null if even the coarsest has more."""
     span = ranged["hi"].cast("double") - ranged["lo"].cast("double")
     level = None
     for n in range(CELL_LEVELS):
         cond = span < float(1 << (CELL_BITS * (n + 1)))
         level = F.when(cond, n) if level is None else level.when(cond, n)
+    return level
+
+
+def _rule_routes(listed: Column, ranged: Column, level: Column) -> Column:
+    """Route keys of one rule: its first value list x the cells of its first range.
+
+    A range too wide for the coarsest level is routed by its attribute alone.
+    """
     shift = lambda c: F.call_function("shiftright", c, level * CELL_BITS)
-    cells = F.when(span < 0, F.array().cast("array<string>")).when(
+    cells = F.when(ranged["hi"] < ranged["lo"], F.array().cast("array<string>")).when(
         level.isNotNull(),
         F.transform(
             F.sequence(shift(ranged["lo"]), shift(ranged["hi"])),
@@ -134,6 +147,33 @@ def _rule_routes(rules: Column) -> Column:
     return _product(list_part, range_part)
 
 
+def _keyed(rules: DataFrame, rule_column: str) -> DataFrame:
+    """Rules with the two conditions that make their route keys."""
+    r = F.col(rule_column)
+    first = lambda pred: F.array_position(F.transform(r, pred), True).cast("int") - 1
+    out = rules.withColumns(
+        {
+            "_listed": F.get(F.filter(r, _is_list), F.lit(0)), "_ranged": F.get(F.filter(r, _is_range), F.lit(0)),
+            "_at_list": first(_is_list), "_at_range": first(_is_range),
+        }
+    )
+    return out.withColumn("_level", _range_level(F.col("_ranged")))
+
+
+def _routed(keyed: DataFrame, rule_column: str, columns: Sequence[str]) -> DataFrame:
+    """Rules with ``_route`` and ``_rest``, the conditions an equal route key leaves to check.
+
+    The key decides the value list, and on the finest level, whose cells are single
+    values, the range too.
+    """
+    done = lambda i: (i == F.col("_at_list")) | ((i == F.col("_at_range")) & F.coalesce(F.col("_level") == 0, F.lit(False)))
+    rest = F.filter(F.col(rule_column), lambda _, i: ~F.coalesce(done(i), F.lit(False)))
+    return keyed.select(
+        *columns, rest.alias("_rest"),
+        F.explode(_rule_routes(F.col("_listed"), F.col("_ranged"), F.col("_level"))).alias("_route"),
+    )
+
+
 def _query_routes(attrs: Column, ranges: Column) -> Column:
     """Every key a rule that accepts the query can have."""
     lists = F.transform(F.map_entries(attrs), lambda e: _route(e["key"], e["value"]))
@@ -150,6 +190,35 @@ def _query_routes(attrs: Column, ranges: Column) -> Column:
     return _product(F.concat(lists, none), F.concat(cells, none))
 
 
+def _shapes(rules: DataFrame) -> list | None:
+    """The distinct (list attribute, range attribute, level) of the rules' keys, if they are few.
+
+    Their number depends on the attributes, not on the rules; reading stops past the bound.
+    """
+    kinds = rules.where(~F.coalesce(F.col("_ranged")["hi"] < F.col("_ranged")["lo"], F.lit(False))).select(
+        F.col("_listed")["attr"].alias("list"), F.col("_ranged")["attr"].alias("range"), F.col("_level").alias("level")
+    )
+    found = kinds.distinct().limit(MAX_SHAPES + 1).collect()
+    return found if len(found) <= MAX_SHAPES else None
+
+
+def _shaped_routes(shapes: list, attrs: Column, ranges: Column) -> Column:
+    """One key per kind of rule key for which the query has the attributes."""
+    keys = []
+    for s in shapes:
+        value = F.lit("-")
+        if s["list"] is not None:
+            v = F.try_element_at(attrs, F.lit(s["list"]))
+            value = F.when(v.isNotNull(), _route(F.lit(s["list"]), v))
+        cell = F.lit("-")
+        if s["range"] is not None:
+            n = F.try_element_at(ranges, F.lit(s["range"]))
+            at = F.lit("*") if s["level"] is None else _cell(n, F.lit(s["level"]))
+            cell = F.when(n.isNotNull(), _route(F.lit(s["range"]), at))
+        keys.append(F.when(value.isNotNull() & cell.isNotNull(), F.concat_ws("\u0002", value, cell)))
+    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<string>")
+
+
 def _product(a: Column, b: Column) -> Column:
     return F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.concat_ws("\u0002", x, y))))
 
@@ -164,10 +233,15 @@ def match_rules(
     to the result and a hot value is cut up by its ranges; what stays hot is split by the
     adaptive skew join.  ``queries`` may be a stream, ``rules`` a stored table.
     """
-    routed = rules.select("*", F.explode(_rule_routes(F.col(rule_column))).alias("_route"))
-    asked = queries.select("*", F.explode(_query_routes(F.col(attrs), F.col(ranges))).alias("_route"))
+    keyed = _keyed(rules, rule_column)
+    shapes = _shapes(keyed)
+    a, n = F.col(attrs), F.col(ranges)
+    keys = _query_routes(a, n) if shapes is None else _shaped_routes(shapes, a, n)
+    asked = queries.select("*", F.explode(keys).alias("_route"))
     # a rule's keys differ from each other and so do a query's: no pair meets twice
-    return asked.join(routed, "_route").where(rule_holds(rule_column, F.col(attrs), F.col(ranges))).drop("_route")
+    pairs = asked.join(_routed(keyed, rule_column, rules.columns), "_route")
+    holds = (F.size("_rest") == 0) | rule_holds("_rest", F.col(attrs), F.col(ranges))
+    return pairs.where(holds).drop("_route", "_rest")
 
 
 # -- user queries -------------------------------------------------------------------------------

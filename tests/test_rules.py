@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lodestone.functions import predicates as pr
@@ -35,7 +37,9 @@ def accepts(conds, attrs, ranges):
     return True
 
 
-def test_many_queries(spark):
+@pytest.mark.parametrize("max_shapes", [64, 1])
+def test_many_queries(spark, monkeypatch, max_shapes):
+    monkeypatch.setattr(matching, "MAX_SHAPES", max_shapes)
     rng = random.Random(11)
     rs = rules(rng, 120)
     qs = []
