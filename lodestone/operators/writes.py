@@ -68,6 +68,14 @@ def put(base: DataFrame, changes: DataFrame, key: str, seq: str = "_seq") -> Dat
     return base.join(last.select(key), key, "left_anti").unionByName(last)
 
 
+def put_in_location(base: DataFrame, changes: DataFrame, key: str, location: str, value, seq: str = "_seq") -> DataFrame:
+    """Put inside one location: changes addressed elsewhere and other locations' rows are left alone."""
+    inside = F.col(location) == F.lit(value)
+    last = last_wins(changes.where(inside), key, seq).select(*base.columns)
+    replaced = last.select(F.col(key), F.col(location))
+    return base.join(replaced, [key, location], "left_anti").select(*base.columns).unionByName(last)
+
+
 def delete(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return base.join(ids.select(key), key, "left_anti")
 

@@ -337,6 +337,21 @@ def _(t):
     return tables.read_located(t.spark, path, 7, buckets=16)
 
 
+@query(
+    "S17_location_put",
+    """WITH ch AS (SELECT o_orderkey, o_custkey, 'R' AS o_orderstatus, max(l_extendedprice) AS o_totalprice, o_orderdate, o_orderpriority
+                   FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = 7 GROUP BY ALL)
+       SELECT * FROM orders WHERE o_custkey <> 7 OR o_orderkey NOT IN (SELECT o_orderkey FROM ch) UNION ALL SELECT * FROM ch""",
+)
+def _(t):
+    """Changes for every location arrive, one location takes its own."""
+    top = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("top"))
+    ch = t.orders.join(top, "o_orderkey").withColumns(
+        {"o_orderstatus": F.lit("R"), "o_totalprice": F.col("top"), "_seq": F.lit(0)}
+    )
+    return writes.put_in_location(t.orders, ch, "o_orderkey", "o_custkey", 7)
+
+
 @query(
     "S17_location_update",
     """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey = 7 AND o_orderstatus = 'F' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
@@ -412,6 +427,22 @@ def _(t):
     return work.result()
 
 
+@query("S22_chunked_delete", "SELECT o_orderkey, o_totalprice FROM orders WHERE NOT o_totalprice < 150000")
+def _(t):
+    work = ChunkedSelection(t.spark, scratch_path(t.spark, "chunks"), "o_orderkey", 3)
+    work.prepare(t.orders.select("o_orderkey", "o_totalprice"))
+    work.run(F.col("o_totalprice") < 150000)
+    return work.result()
+
+
+@query("S22_chunked_copy", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 350000")
+def _(t):
+    work = ChunkedSelection(t.spark, scratch_path(t.spark, "chunks"), "o_orderkey", 3)
+    work.prepare(t.orders.select("o_orderkey", "o_totalprice"))
+    work.run(F.col("o_totalprice") > 350000, copy=True)
+    return work.result()
+
+
 SQL_FED = f"""WITH {SQL_LOG}, bad AS (SELECT * FROM log WHERE NOT c_acctbal >= 1)"""
 
 

@@ -32,11 +32,11 @@ def _(t):
 
 @query(
     "T02_locale_order",
-    """WITH w AS (SELECT DISTINCT unnest(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS w FROM documents WHERE lang = 'fr')
+    """WITH w AS (SELECT DISTINCT unnest(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS w FROM documents)
        SELECT w, (row_number() OVER (ORDER BY w COLLATE sv, w))::INTEGER AS hit_rank FROM w QUALIFY hit_rank <= 2000""",
 )
 def _(t):
-    words = t.documents.where("lang = 'fr'").select(F.explode(F.array_distinct(tx.tokens("text"))).alias("w")).distinct()
+    words = t.documents.select(F.explode(F.array_distinct(tx.tokens("text"))).alias("w")).distinct()
     by = lambda: [order.locale_order("w", "sv"), F.col("w").asc()]
     return _page(words, by, ["w"], 2000)
 
@@ -382,15 +382,13 @@ def _(t):
 
 @query(
     "F15_uca_primary",
-    """SELECT min(w) AS first_form, count(*) AS n, strip_accents(lower(w)) AS folded FROM (
-         SELECT DISTINCT unnest(list_filter(string_split_regex(text, '[^\\p{L}\\p{N}]+'), lambda x: regexp_full_match(x, '[A-Za-zéèêçàÉÈÊÇÀ]+'))) AS w
-         FROM documents WHERE lang = 'fr') GROUP BY folded""",
+    """SELECT min(w) AS first_form, count(*) AS n, strip_accents(replace(lower(w), 'ß', 'ss')) AS folded FROM (
+         SELECT DISTINCT unnest(list_filter(string_split_regex(text, '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS w FROM documents) GROUP BY folded""",
 )
 def _(t):
-    """Primary strength groups words that differ in case and accents only."""
-    words = t.documents.where("lang = 'fr'").select(F.explode(F.array_distinct(tx.tokens("text", tx.CASED))).alias("w")).distinct()
-    words = words.where(F.col("w").rlike("^[A-Za-zéèêçàÉÈÊÇÀ]+$"))
-    folded = tx.Analyzer(fold_accents=True).text("w")
+    """Primary strength groups words that differ in case, accents and sharp s only."""
+    words = t.documents.select(F.explode(F.array_distinct(tx.tokens("text", tx.CASED))).alias("w")).distinct()
+    folded = F.replace(tx.Analyzer(fold_accents=True).text("w"), F.lit("ß"), F.lit("ss"))
     g = words.groupBy(sc.uca("w", "fr", "PRIMARY").alias("k")).agg(
         F.min("w").alias("first_form"), F.count(F.lit(1)).alias("n"), F.min(folded).alias("folded")
     )

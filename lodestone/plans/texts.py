@@ -29,10 +29,10 @@ def _(t):
     return t.documents.select("doc_id", F.array_join(tx.tokens("text", tx.CASED), " ").alias("tokens"))
 
 
-@query("A03_drop_accents", f"SELECT doc_id, array_to_string({sql_tokens('strip_accents(lower(text))')}, ' ') AS tokens FROM documents WHERE lang <> 'en'")
+@query("A03_drop_accents", f"SELECT doc_id, array_to_string({sql_tokens('strip_accents(lower(text))')}, ' ') AS tokens FROM documents")
 def _(t):
     an = tx.Analyzer(fold_accents=True)
-    return t.documents.where("lang <> 'en'").select("doc_id", F.array_join(tx.tokens("text", an), " ").alias("tokens"))
+    return t.documents.select("doc_id", F.array_join(tx.tokens("text", an), " ").alias("tokens"))
 
 
 SQL_STEM = """CASE WHEN length(x) >= 5 AND x LIKE '%ies' AND substr(x, -4, 1) NOT IN ('e', 'a') THEN left(x, length(x) - 3) || 'y'

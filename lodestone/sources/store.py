@@ -168,26 +168,33 @@ class ChunkedSelection:
         row = nxt.join(self.progress(), "chunk", "left_anti").agg(F.min("chunk")).first()
         return row[0]
 
-    def step(self, token: int | None, selection: Column, ops: dict[str, FieldOp] | None) -> tuple[int, int | None]:
-        """Work the chunk named by the token; (affected, next token).  ``ops=None`` deletes."""
+    def step(
+        self, token: int | None, selection: Column, ops: dict[str, FieldOp] | None = None, copy: bool = False
+    ) -> tuple[int, int | None]:
+        """Work the chunk named by the token; (affected, next token).
+
+        ``ops`` updates, ``copy`` keeps only the selected rows for another store, and
+        without either the selected rows are deleted.
+        """
         c = token if token is not None else 0
         seen = Observation()
         part = self.spark.read.parquet(f"{self.path}/source").where(F.col("_chunk") == c).drop("_chunk")
-        done = (
-            writes.delete_by_selection(part, selection, seen)
-            if ops is None
-            else writes.update_by_selection(part, selection, ops, seen)
-        )
+        if copy:
+            done = part.where(F.coalesce(selection, F.lit(False))).observe(seen, F.count(F.lit(1)).alias("affected"))
+        elif ops is not None:
+            done = writes.update_by_selection(part, selection, ops, seen)
+        else:
+            done = writes.delete_by_selection(part, selection, seen)
         done.write.mode("overwrite").parquet(f"{self.path}/result/_chunk={c}")
         n = seen.get["affected"]
         _append_row(self.spark, self.PROGRESS, (c, n), f"{self.path}/progress")
         return n, (c + 1 if c + 1 < self.chunks else None)
 
-    def run(self, selection: Column, ops: dict[str, FieldOp] | None) -> int:
+    def run(self, selection: Column, ops: dict[str, FieldOp] | None = None, copy: bool = False) -> int:
         """Continue from the last finished chunk to the end; affected rows of all chunks."""
         token = self.token()
         while token is not None:
-            _, token = self.step(token, selection, ops)
+            _, token = self.step(token, selection, ops, copy)
         return self.progress().agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0]
 
     def result(self) -> DataFrame:
