@@ -224,7 +224,7 @@ def _product(a: Column, b: Column) -> Column:
 
 
 def match_rules(
-    rules: DataFrame, rule_key: str, rule_column: str, queries: DataFrame, attrs: str, ranges: str
+    rules: DataFrame, rule_column: str, queries: DataFrame, attrs: str, ranges: str, spread: int | None = None
 ) -> DataFrame:
     """All (query row, rule row) pairs where the rule accepts the query.
 
@@ -232,7 +232,12 @@ def match_rules(
     them.  A key holds a value list and a range cell together, so the candidates are close
     to the result and a hot value is cut up by its ranges; what stays hot is split by the
     adaptive skew join.  ``queries`` may be a stream, ``rules`` a stored table.
+
+    Every query can meet many rules; ``spread`` deals queries that come in few partitions
+    out over that many before they are multiplied.
     """
+    if spread:
+        queries = queries.repartition(spread)
     keyed = _keyed(rules, rule_column)
     shapes = _shapes(keyed)
     a, n = F.col(attrs), F.col(ranges)

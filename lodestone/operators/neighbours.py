@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import vectors as vx
 from lodestone.operators.order import top
 from lodestone.operators.ranking import bm25, corpus_stats
-from lodestone.session import at_most
+from lodestone.session import is_small
 
 # Fixed bounds of one block of the many-query join: rows of a base block and of a query block.
 BASE_BLOCK = 20_000
@@ -162,7 +162,7 @@ def nearest_join(
     b = base.select(F.col(base_key).cast("bigint").alias("b_id"), F.col(base_vector).alias("b_vec"))
     q = queries.select(F.col(query_key).cast("bigint").alias("q_id"), F.col(query_vector).alias("q_vec"))
     schema = "q_id bigint, b_id bigint, distance double"
-    if at_most(q, broadcast_rows):
+    if is_small(q, broadcast_rows):
         qt = q.toArrow()
         spark = base.sparkSession
         ship = spark.sparkContext.broadcast(

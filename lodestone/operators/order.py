@@ -11,6 +11,9 @@ from lodestone.functions.scalars import uca
 from lodestone.functions.text import as_col
 from lodestone.session import cut
 
+# Most rows a top-k may gather in one task.
+ONE_TASK_ROWS = 1_000_000
+
 
 def sort_spec(spec: str) -> list[Column]:
     """``"+year -relevance"`` -> order columns; no sign means ascending."""
@@ -38,10 +41,14 @@ def locale_order(field: str, locale: str, strength: str | None = None, descendin
 def top(df: DataFrame, order: Sequence[Column], n: int, offset: int = 0) -> DataFrame:
     """Best ``n`` rows: every task keeps a bounded heap, nothing is sorted whole.
 
-    The rows are in one partition already, so ``coalesce`` costs nothing; it keeps later
+    More rows than one task should hold are taken by their position instead, and stay
+    spread out.  Otherwise the rows are in one partition already, so ``coalesce`` costs nothing; it keeps later
     projections from being moved below the limit, where they would run on every row and
     turn the heap into a full sort.
     """
+    if n + offset > ONE_TASK_ROWS:
+        at = F.col("_position")
+        return number_rows(df, order, "_position").where((at >= offset) & (at < offset + n)).drop("_position")
     out = df.orderBy(*order)
     return (out.offset(offset) if offset else out).limit(n).coalesce(1)
 

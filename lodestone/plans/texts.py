@@ -399,7 +399,7 @@ def _(t):
         F.create_map(F.lit("brand"), F.concat(F.lit("Brand#"), (F.col("c_nationkey") + 1).cast("string"))).alias("attrs"),
         F.create_map(F.lit("size"), F.floor(F.abs("c_acctbal") / 200).cast("bigint")).alias("ranges"),
     )
-    out = matching.match_rules(part_rules(t), "p_partkey", "rules", asked, "attrs", "ranges")
+    out = matching.match_rules(part_rules(t), "rules", asked, "attrs", "ranges", t.spark.sparkContext.defaultParallelism)
     return out.select("c_custkey", "p_partkey")
 
 

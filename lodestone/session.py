@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a side may have before it is no longer sent to every executor.
+# Rows and bytes a side may have before it is no longer sent to every executor.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def session(app: str = "lodestone", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,11 +61,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than ``rows + 1``."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+def _row_bytes(df: DataFrame) -> Column:
+    """About how large a row is: text by its length, nested values by their JSON text."""
+    size = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+        else:
+            size = size + 8
+    return size
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is within both bounds; reads no more than ``rows + 1`` rows."""
+    seen = df.select(_row_bytes(df).alias("b")).limit(rows + 1).agg(F.count(F.lit(1)), F.sum("b")).first()
+    return seen[0] <= rows and (seen[1] or 0) <= size
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side's size has been checked."""
-    return F.broadcast(df) if at_most(df, rows) else df
+    """Hint a broadcast only when the side's rows and bytes have been checked."""
+    return F.broadcast(df) if is_small(df, rows) else df

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import aggregates as ag, predicates as pr, scalars as sc, text as tx
 from lodestone.operators import grouping, order
+from lodestone.session import is_small
 
 PRODUCTS = [
     ("Gaming Laptop", 1499.0, "electronics", True, 5), ("Office Mouse", 29.0, "accessories", True, 50),
@@ -94,6 +95,20 @@ def test_numbering_with_one_hot_value(spark):
     assert sorted(r["position"] for r in got) == list(range(3000))
 
 
+def test_large_top_k_stays_spread_out(spark, monkeypatch):
+    df = spark.range(500).select("id", (F.col("id") % 7).alias("v"))
+    by = [F.col("v").desc(), F.col("id").asc()]
+    small = {r["id"] for r in order.top(df, by, 50, 20).collect()}
+    monkeypatch.setattr(order, "ONE_TASK_ROWS", 30)
+    assert {r["id"] for r in order.top(df, by, 50, 20).collect()} == small
+
+
+def test_broadcast_needs_rows_and_bytes_in_bounds(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("s"), F.array(F.lit(1.5)).alias("a"))
+    assert is_small(df) and not is_small(df, rows=99) and not is_small(df, size=50_000)
+    assert is_small(df.where("false"))
+
+
 def test_quantiles_of_a_hot_group(spark):
     df = spark.range(4000).select(
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"),

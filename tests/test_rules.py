@@ -49,7 +49,7 @@ def test_many_queries(spark, monkeypatch, max_shapes):
         qs.append((i, attrs, nums))
     rdf = spark.createDataFrame(rs, f"rid int, rules {pr.RULE_TYPE}")
     qdf = spark.createDataFrame(qs, "qid int, attrs map<string,string>, nums map<string,bigint>")
-    pairs = [(r["qid"], r["rid"]) for r in matching.match_rules(rdf, "rid", "rules", qdf, "attrs", "nums").collect()]
+    pairs = [(r["qid"], r["rid"]) for r in matching.match_rules(rdf, "rules", qdf, "attrs", "nums", 3).collect()]
     want = {(q, r) for q, a, n in qs for r, c in rs if accepts(c, a, n)}
     assert want and len(pairs) == len(set(pairs)) and set(pairs) == want
 
