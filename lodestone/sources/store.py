@@ -103,6 +103,8 @@ class Store:
         last, base, seen = self._latest(batch)
         if seen:
             return None
+        if base >= 0 and "_seq" not in self.spark.read.parquet(self._folder(base)).columns:
+            raise ValueError("a store that is fed keeps _seq in its rows; commit the first state with it")
         v = self.commit(writes.last_wins(changes, self.key), batch, version=last + 1, kind="delta")
         if v - base >= MAX_DELTAS:
             self.compact()

@@ -18,14 +18,6 @@ def t(spark, folder):
     return lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_cross_join_anywhere(spark, folder, name):
-    if name.startswith(("W0", "S26", "S22", "S19_aff")):
-        pytest.skip("runs jobs of its own")
-    text = plan(entry.queries()[name](spark, folder))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-
-
 def test_filter_and_columns_reach_the_scan(t):
     text = plan(t("orders").where("o_totalprice > 1000").select("o_orderkey"))
     assert "GreaterThan(o_totalprice,1000.0)" in text and "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in text

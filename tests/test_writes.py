@@ -133,6 +133,27 @@ def test_chunks_resume_and_repeat(spark):
     assert out.count() == 1000 and out.where("s = 'Q'").count() == 500
 
 
+def test_chunks_without_rows(spark):
+    work = ChunkedSelection(spark, scratch_path(spark, "c"), "id", 9)
+    work.prepare(spark.range(3).select("id", F.lit("P").alias("s")))
+    assert work.run(F.col("id") < 2) == 2
+    assert [r["id"] for r in work.result().collect()] == [2]
+
+
+def test_feed_wants_a_sequence_in_the_store(spark, base):
+    st = Store(spark, scratch_path(spark, "t"), "id")
+    st.commit(base)
+    with pytest.raises(ValueError):
+        st.feed(changes(spark, [("a", 1.0, 1, 1)]), "0")
+
+
+def test_put_in_location(spark):
+    rows_ = [(1, 7, "a"), (2, 7, "b"), (1, 8, "c")]
+    base = spark.createDataFrame(rows_, "id int, loc int, v string")
+    ch = spark.createDataFrame([(1, 7, "x", 1), (1, 7, "y", 2), (1, 8, "z", 1), (9, 7, "n", 1)], "id int, loc int, v string, _seq int")
+    assert rows(writes.put_in_location(base, ch, "id", "loc", 7)) == {(1, 7, "y"), (2, 7, "b"), (1, 8, "c"), (9, 7, "n")}
+
+
 def test_stream_replay_and_error_sink(spark):
     src = scratch_path(spark, "src")
     for i, part in enumerate([[("a", 1.0, 1, 1), ("b", -1.0, 1, 2)], [("a", 2.0, 2, 3)]]):
