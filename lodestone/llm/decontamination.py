@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import plain_words
 
 ITEMS_PER_INDEX = 20_000  # a larger benchmark is asked in several indexes of at most about this many items each
-SUPERBLOCKS = 32
+SUPERBLOCKS = 128
 BLOCK = 8
 
 
@@ -148,18 +148,30 @@ def block_max_wand(index: Index, terms: list[int], least: float) -> list[tuple[i
                 seek(c, item)
 
 
-def passages(index: Index, ids: np.ndarray, least: float, span: int = 64) -> Iterator[int]:
-    """First words of the passages that may reach the threshold: two steps long, one step apart, so that any stretch as long as
-    the longest item lies in one. Term maxima of a superblock, summed over a passage's words, bound the score of its items."""
-    step, n = index.step, len(ids)
-    starts = np.arange(0, max(1, n - step), step)
-    for at in range(0, len(starts), span):
-        some = starts[at : at + span]
-        lo, hi = some[0], min(n, some[-1] + 2 * step)
-        place = np.flatnonzero(ids[lo:hi] >= 0)
-        sums = np.vstack([np.zeros(SUPERBLOCKS), np.cumsum(index.bounds[ids[lo:hi][place]], axis=0)])
-        a, b = np.searchsorted(place, some - lo), np.searchsorted(place, some - lo + 2 * step)
-        yield from some[(sums[b] - sums[a]).max(axis=1) >= least - 1e-6].tolist()
+def passages(index: Index, ids: np.ndarray, least: float, span: int = 256) -> Iterator[tuple[int, list[int]]]:
+    """First words, and distinct terms, of the passages that may reach the threshold.
+
+    Passages are two steps long, one step apart, so that any stretch as long as the longest item lies in one. Term maxima of a
+    superblock, summed over a passage's distinct terms, bound the score of the superblock's items.
+    """
+    step, size = index.step, len(index.postings) + 1
+    last = max(1, -(-(len(ids) - step) // step))  # number of passages
+    place = np.flatnonzero(ids >= 0)
+    terms = ids[place]
+    cell = place // step  # a word belongs to the passage that begins in its step and to the one before
+    for at in range(0, last, span):
+        lo, hi = np.searchsorted(cell, (at, at + span + 1))
+        both = np.concatenate([cell[lo:hi], cell[lo:hi] - 1])
+        inside = (both >= at) & (both < min(at + span, last))
+        keys = np.unique(both[inside] * size + np.concatenate([terms[lo:hi]] * 2)[inside])
+        if not len(keys):
+            continue
+        owner, term = np.divmod(keys, size)
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        sums = np.add.reduceat(index.bounds[term], first, axis=0)
+        ends = np.append(first[1:], len(keys))
+        for k in np.flatnonzero(sums.max(axis=1) >= least - 1e-6):
+            yield int(owner[first[k]]) * step, term[first[k] : ends[k]].tolist()
 
 
 def search(index: Index, text: bytes, least: float, question: float, answer: float) -> list[tuple[int, float, float, float]]:
@@ -167,9 +179,8 @@ def search(index: Index, text: bytes, least: float, question: float, answer: flo
     words = plain_words(text)
     ids = np.fromiter(map(index.vocabulary.get, words, repeat(-1)), np.int64, len(words))
     best: dict[int, tuple[float, float, float]] = {}
-    for s in passages(index, ids, least):
-        window = ids[s : s + 2 * index.step]
-        hits = block_max_wand(index, np.unique(window[window >= 0]).tolist(), least)
+    for s, terms in passages(index, ids, least):
+        hits = block_max_wand(index, terms, least)
         w = words[s : s + 2 * index.step]
         for item, score in hits:
             qs, as_, (nq, na) = index.parts[item]
@@ -181,7 +192,7 @@ def search(index: Index, text: bytes, least: float, question: float, answer: flo
 
 
 def matches(
-    spark, text: Column, indexes: list[Index], id_type: str, least: float = 0.5, question: float = 0.5, answer: float = 0.5
+    spark, text: Column, indexes: list[Index], id_type: str, least: float = 0.6, question: float = 0.5, answer: float = 0.5
 ) -> Column:
     """A column with the verified items of each text as an array of structs."""
     kind = f"array<struct<item_id:{id_type},score:double,question_overlap:double,answer_overlap:double>>"
