@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import decontamination, mixing, ngram_join, sharding, token_counts, toxicity
+from lodestone.llm import ann, decontamination, mixing, ngram_join, sharding, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_copies(_table(spark, folder, "documents"), n=3, percent=90)
 
 
+def op4_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(_table(spark, folder, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
 
@@ -40,7 +44,7 @@ def op10_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_ngram_jaccard_join, op5_mixing, op6_decontamination, op7_toxicity, op8_token_counts, op10_uniform_shards)
+    f.__name__: f for f in (op3_ngram_jaccard_join, op4_nearest_vectors, op5_mixing, op6_decontamination, op7_toxicity, op8_token_counts, op10_uniform_shards)
 }
 
 SQL: dict[str, str] = {}
