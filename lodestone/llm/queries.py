@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import ann, decontamination, mixing, ngram_join, sharding, token_counts, toxicity
+from lodestone.llm import ann, decontamination, lm_scoring, mixing, ngram_join, sharding, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.lm_scores(_table(spark, folder, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_copies(_table(spark, folder, "documents"), n=3, percent=90)
 
@@ -44,7 +48,7 @@ def op10_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_ngram_jaccard_join, op4_nearest_vectors, op5_mixing, op6_decontamination, op7_toxicity, op8_token_counts, op10_uniform_shards)
+    f.__name__: f for f in (op2_lm_scores, op3_ngram_jaccard_join, op4_nearest_vectors, op5_mixing, op6_decontamination, op7_toxicity, op8_token_counts, op10_uniform_shards)
 }
 
 SQL: dict[str, str] = {}
