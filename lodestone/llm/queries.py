@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestone.llm import ann, decontamination, lm_scoring, mixing, ngram_join, sharding, token_counts, toxicity
+from lodestone.llm import ann, decontamination, line_dedup, lm_scoring, mixing, ngram_join, quality, sharding, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.without_repeated_chunks(_table(spark, folder, "documents"))
+    return out.select("doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"))
+
+
 def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.lm_scores(_table(spark, folder, "documents"))
 
@@ -43,12 +49,20 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op10_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.uniform_shards(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_lm_scores, op3_ngram_jaccard_join, op4_nearest_vectors, op5_mixing, op6_decontamination, op7_toxicity, op8_token_counts, op10_uniform_shards)
+    f.__name__: f
+    for f in (
+        op1_line_dedup, op2_lm_scores, op3_ngram_jaccard_join, op4_nearest_vectors, op5_mixing, op6_decontamination, op7_toxicity,
+        op8_token_counts, op9_quality, op10_uniform_shards,
+    )
 }
 
 SQL: dict[str, str] = {}

@@ -41,9 +41,11 @@ def features(text: bytes | None) -> np.ndarray:
 class Ftrl:
     """One learner: per-coordinate rates from summed squared gradients, L1 keeps unneeded weights at exactly zero."""
 
-    def __init__(self, alpha: float = 2.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.001):
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
-        self.z, self.n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    def __init__(
+        self, alpha: float = 2.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.001, size: int = 1 << BITS, positive: float = POSITIVE
+    ):
+        self.alpha, self.beta, self.l1, self.l2, self.size, self.positive = alpha, beta, l1, l2, size, positive
+        self.z, self.n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(self, at: np.ndarray) -> np.ndarray:
         z, n = self.z[at], self.n[at]
@@ -51,10 +53,10 @@ class Ftrl:
         return np.where(np.abs(z) <= self.l1, 0.0, w)
 
     def learn(self, at: np.ndarray, y: float) -> None:
-        at = np.append(at, 1 << BITS)  # the last coordinate is the intercept
+        at = np.append(at, self.size)  # the last coordinate is the intercept
         w = self.weights(at)
         g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - y
-        g *= POSITIVE if y else 1.0
+        g *= self.positive if y else 1.0
         n = self.n[at]
         self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
         self.n[at] = n + g * g
