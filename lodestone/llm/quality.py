@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         c = logistic(np.stack([la * sa[0] + sa[1], lb * sb[0] + sb[1], one], 1), y, one, 0.1)
         return pd.DataFrame({"k": range(7), "w": np.concatenate([sa, sb, c])})
 
-    held = both.where(kept_out).groupBy(F.lit(0)).applyInPandas(calibrate, "k int, w double").orderBy("k").toPandas()["w"].to_numpy()
+    held = both.where(kept_out).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(calibrate, "k int, w double").orderBy("k").toPandas()["w"].to_numpy()
     if len(held) != 7:
         held = np.array([1.0, 0, 1, 0, 0.5, 0.5, 0])
     return Model(text_w, meta_w, held[:2], held[2:4], held[4:])
