@@ -125,10 +125,11 @@ def _possible(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(side("a"), "ga").join(side("b"), "gb")
     total = F.col("na") + F.col("nb")
     overlap = F.ceil(total * percent / (100 + percent) - 1e-9)
-    top = F.least(F.array_max("wa"), F.array_max("wb"))
-    inside = lambda w: F.size(F.filter(w, lambda x: x <= F.col("top")))
-    both = both.withColumn("top", top)
-    apart = inside("wa") + inside("wb") - 2 * F.size(F.array_intersect("wa", "wb"))
+    inside = lambda w, top: F.size(F.filter(w, lambda x: x <= top))
+    # the bound is an array's element, so that it is computed once a pair and not once an element
+    top = F.array(F.least(F.array_max("wa"), F.array_max("wb")))
+    covered = F.transform(top, lambda t: inside("wa", t) + inside("wb", t))[0]
+    apart = covered - 2 * F.size(F.array_intersect("wa", "wb"))
     return both.where(_near_sizes(F.col("na"), F.col("nb"), percent) & (apart <= total - 2 * overlap)).select("ga", "gb")
 
 
