@@ -198,7 +198,7 @@ def links(
     groups = store(sets.groupBy("gid").agg(F.min("sid").alias("leader"), F.first("n").alias("n"), F.first("win").alias("win")), "groups")
     postings = _postings(groups, percent, _common_tokens(groups, common, common_tokens))
     anchors = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("df"), F.min(F.struct(F.xxhash64("token", "gid").alias("h"), F.col("gid"), F.col("n"))).alias("anchor")
+        F.count(F.lit(1)).alias("df"), F.min(F.struct(F.xxhash64("gid").alias("h"), F.col("gid"), F.col("n"))).alias("anchor")
     ).where("df > 1").select("token", F.col("anchor.gid").alias("ag"), F.col("anchor.n").alias("an"))
     lists = store(postings.join(anchors, "token"), "lists")
 
