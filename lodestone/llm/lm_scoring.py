@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import U, hashes, ngrams, pack, row_key, store, table_bytes, unpack, words
+from lodestone.llm.common import U, hashes, ngrams, pack, row_key, store, unpack, words
 
 BACKOFF = 0.4
 BLOCK_WORDS = 500_000
-BYTES_PER_PART = 16 << 20  # input bytes for each hash partition of the pairs, some four million pairs
+BYTES_PER_PART = 32 << 20  # bytes of text for each hash partition of the pairs, some four million pairs
 HOT_PAIRS, HOT_WORDS = 1 << 20, 1 << 22  # bounds of what is sent to every task: 12 MB and 48 MB
 
 
@@ -179,7 +179,8 @@ def lm_scores(
     k1, _ = row_key(F.col(id_col), F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), F.col(text_col).cast("binary").alias("text"))
     id_type = dict(rows.dtypes)["id"]
-    two = max(0, math.ceil(math.log2(max(1, table_bytes(docs) / bytes_per_part))))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    two = max(0, math.ceil(math.log2(max(1, size / bytes_per_part))))
     bits = {1: max(0, two - 3), 2: two}
     counts = store(count_tables(rows, bits, block_words), "ngram-counts")
     total = counts.where("kind = 1").agg(F.sum("n")).first()[0] or 1
