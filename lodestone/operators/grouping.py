@@ -186,12 +186,10 @@ def groups_and_hits(
 def group_tree(df: DataFrame, levels: Sequence[Level], label: str | None = None) -> DataFrame:
     """Nested result: label, value, outputs and an ordered array of sub-groups.
 
-    Every level must bound its groups (10 unless said otherwise), so the arrays are
-    bounded too.
+    A level keeps all its groups unless it names ``max_groups``; a level with very many groups makes long arrays, for which
+    ``nested_groups`` gives flat tables.
     """
-    bounded = [
-        Level(lv.name, lv.expr, lv.outputs, lv.order, lv.max_groups or DEFAULT_MAX_GROUPS) for lv in levels
-    ]
+    bounded = list(levels)
     tables = nested_groups(df, bounded)
     below: DataFrame | None = None
     for i in range(len(bounded) - 1, -1, -1):

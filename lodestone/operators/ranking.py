@@ -246,7 +246,7 @@ def rank(df: DataFrame, key: str, profile: RankProfile, inputs: Mapping[str, obj
         out = keep_rank(out, key, p.keep_count)
     out = out.withColumn("phase", F.lit(1))
     if p.second:
-        out = rerank(out, key, p.second(env), p.second_count or 100, 2)
+        out = rerank(out, key, p.second(env), 100 if p.second_count is None else p.second_count, 2)
     if p.global_:
-        out = rerank(out, key, p.global_(env), p.global_count or 100, 3)
+        out = rerank(out, key, p.global_(env), 100 if p.global_count is None else p.global_count, 3)
     return out
