@@ -333,8 +333,8 @@ def _(t):
 @query("S17_location_get", "SELECT * FROM orders WHERE o_custkey = 7")
 def _(t):
     path = scratch_path(t.spark, "located")
-    tables.write_located(t.orders, path, "o_custkey", buckets=16)
-    return tables.read_located(t.spark, path, 7, buckets=16)
+    tables.write_located(t.orders, path, "o_custkey", "o_orderkey", buckets=16)
+    return tables.read_located(t.spark, path, 7)
 
 
 @query(

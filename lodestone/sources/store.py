@@ -27,6 +27,12 @@ def _append_row(spark: SparkSession, schema: str, row: tuple, path: str) -> None
     spark.range(1, numPartitions=1).select(*cols).write.mode("append").parquet(path)
 
 
+def _only_missing(e: AnalysisException) -> None:
+    """A folder that does not exist yet is empty; any other fault must not pass for that."""
+    if e.getCondition() != "PATH_NOT_FOUND":
+        raise e
+
+
 class Store:
     """Versions are whole states (``base``) or the changes of one feed batch (``delta``)."""
 
@@ -36,7 +42,8 @@ class Store:
     def commits(self) -> DataFrame:
         try:
             return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
-        except AnalysisException:
+        except AnalysisException as e:
+            _only_missing(e)
             return self.spark.createDataFrame([], COMMITS)
 
     def _latest(self, batch: str | None = None) -> tuple[int, int, bool]:
@@ -161,7 +168,8 @@ class ChunkedSelection:
     def progress(self) -> DataFrame:
         try:
             return self.spark.read.schema(self.PROGRESS).parquet(f"{self.path}/progress").dropDuplicates(["chunk"])
-        except AnalysisException:
+        except AnalysisException as e:
+            _only_missing(e)
             return self.spark.createDataFrame([], self.PROGRESS)
 
     def token(self) -> int | None:
@@ -200,4 +208,8 @@ class ChunkedSelection:
         return self.progress().agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0]
 
     def result(self) -> DataFrame:
+        """The rows of all chunks; an error while chunks are still to be worked."""
+        left = self.token()
+        if left is not None:
+            raise ValueError(f"chunk {left} of {self.chunks} is not worked yet")
         return self.spark.read.parquet(f"{self.path}/result").drop("_chunk")

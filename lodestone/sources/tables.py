@@ -114,27 +114,28 @@ def get_many(df: DataFrame, key: str, ids: Iterable | DataFrame) -> DataFrame:
 LOCATION_BUCKETS = 256
 
 
-def write_located(df: DataFrame, path: str, location: str, buckets: int = LOCATION_BUCKETS) -> None:
+def write_located(df: DataFrame, path: str, location: str, key: str, buckets: int = LOCATION_BUCKETS) -> None:
     """Store by location: folders of hashed locations, rows sorted by location inside.
 
     A hash keeps the folder count fixed however many users there are.  The write is spread
-    over all tasks by location and key order, so one hot location is cut into several files.
+    over all tasks by location and ``key``, the document's own, so one hot location is cut
+    into several files.  The folder count is part of the layout, so readers need not know it.
     """
-    out = df.withColumn("_location", F.col(location)).withColumn("_loc", slice_of(location, buckets).cast("int"))
+    layout = {"_location": F.col(location), "_buckets": F.lit(buckets), "_loc": slice_of(location, buckets).cast("int")}
+    out = df.withColumns(layout)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = [c for c in out.columns if c not in ("_loc", "_location")]
-    out.repartitionByRange(n, "_loc", "_location", *rest[:1]).sortWithinPartitions("_loc", "_location").write.partitionBy(
-        "_loc"
+    out.repartitionByRange(n, "_loc", "_location", key).sortWithinPartitions("_loc", "_location").write.partitionBy(
+        "_buckets", "_loc"
     ).mode("overwrite").parquet(path)
 
 
-def read_located(spark: SparkSession, path: str, location=None, buckets: int = LOCATION_BUCKETS) -> DataFrame:
+def read_located(spark: SparkSession, path: str, location=None) -> DataFrame:
     """One location's documents: one folder is listed, its row groups pruned by the location."""
     df = spark.read.parquet(path)
     if location is not None:
-        hashed = F.pmod(F.xxhash64(F.lit(location).cast(df.schema["_location"].dataType)), F.lit(buckets)).cast("int")
+        hashed = F.pmod(F.xxhash64(F.lit(location).cast(df.schema["_location"].dataType)), F.col("_buckets")).cast("int")
         df = df.where((F.col("_loc") == hashed) & (F.col("_location") == F.lit(location)))
-    return df.drop("_loc", "_location")
+    return df.drop("_buckets", "_loc", "_location")
 
 
 def in_location(df: DataFrame, location: str, value, selection: str | Column | None = None) -> DataFrame:

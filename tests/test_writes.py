@@ -2,11 +2,12 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from lodestone.functions import updates as up
 from lodestone.operators import writes
 from lodestone.session import scratch_path
-from lodestone.sources.store import MAX_DELTAS, ChunkedSelection, Store
+from lodestone.sources.store import MAX_DELTAS, ChunkedSelection, Store, _only_missing
 from lodestone.streaming import feed as fd
 
 SCHEMA = "id string, price double, quantity int"
@@ -127,6 +128,8 @@ def test_chunks_resume_and_repeat(spark):
     sel, ops = F.col("id") < 500, {"s": up.assign("Q")}
     n0, nxt = work.step(work.token(), sel, ops)
     assert nxt == work.token() == 1
+    with pytest.raises(ValueError):
+        work.result()  # four chunks are missing
     work.step(0, sel, ops)  # the same chunk again: its folder is overwritten, its row counted once
     assert work.run(sel, ops) == 500 and work.token() is None
     out = work.result()
@@ -163,7 +166,7 @@ def test_stream_replay_and_error_sink(spark):
 
     def run(checkpoint):
         s = fd.file_stream(spark, src, changes(spark, []).schema, max_files=1)
-        q = fd.feed(s, st, f"{base}/{checkpoint}", valid=F.col("price") > 0, errors_path=f"{base}/errors", once=True)
+        q = fd.feed(s, st, f"{base}/{checkpoint}", "log", valid=F.col("price") > 0, errors_path=f"{base}/errors", once=True)
         q.awaitTermination()
         return q
 
@@ -176,6 +179,23 @@ def test_stream_replay_and_error_sink(spark):
     assert rows(spark.read.parquet(f"{base}/errors").select("id", "status")) == {("b", 400)}
 
 
+def test_two_streams_feed_one_store(spark):
+    base = scratch_path(spark, "feeds")
+    st = Store(spark, f"{base}/store", "id")
+    for name in ("first", "second"):
+        changes(spark, [(name, 1.0, 1, 1)]).coalesce(1).write.parquet(f"{base}/{name}")
+        s = fd.file_stream(spark, f"{base}/{name}", changes(spark, []).schema)
+        fd.feed(s, st, f"{base}/cp-{name}", name, once=True).awaitTermination()
+    assert rows(st.read()) == {("first", 1.0, 1, 1), ("second", 1.0, 1, 1)}
+
+
+def test_an_unreadable_commit_table_is_no_empty_store(spark):
+    st = Store(spark, scratch_path(spark, "t"), "id")
+    assert st.version() == -1
+    with pytest.raises(AnalysisException):
+        _only_missing(AnalysisException("no right to read"))
+
+
 def test_field_operations(spark):
     df = spark.createDataFrame([(["x", "y", "x"], {"k": 1, "j": 2}, None)], "a array<string>, m map<string,int>, e map<string,int>")
     new = F.create_map(F.lit("k"), F.lit(9), F.lit("n"), F.lit(4))
