@@ -2,7 +2,8 @@
 
 A text is its set of n-gram hashes (64 bits), ordered by hash. Two sets with Jaccard similarity t or more share a token among the first
 ``p = n - ceil(t n) + 1`` tokens of each. Equal sets are one set; sets with equal size and equal prefix window are one group, which is posted
-once. Tokens that many groups post ("common") are moved behind all others, so that passages shared by many texts make no pairs.
+once. Tokens that many groups have in their windows ("common") are moved behind all others, so that passages shared by many texts make
+no pairs. Sets whose windows are mostly common are joined with each other by whole sets, ordered by how many of them have a token.
 
 The pairs of a posting list are found in two steps, so that a list of k near copies makes about k pairs and not k squared: first
 every group meets its list's anchor and every set its group's leader; verified pairs give components. Then pairs are made
@@ -65,8 +66,9 @@ def sketches(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str)
     return rows.mapInArrow(run, f"id {id_type}, k1 bigint, k2 bigint, n bigint, sid bigint, win array<bigint>")
 
 
-def _common_tokens(groups: DataFrame, common: int, bound: int) -> np.ndarray:
-    counts = groups.select(F.explode("win").alias("token")).groupBy("token").count().where(F.col("count") > common)
+def _common_tokens(tokens: DataFrame, common: int, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that occur more than ``common`` times, in ascending order, and how often; of more than ``bound``, the most frequent."""
+    counts = tokens.groupBy("token").count().where(F.col("count") > common)
     counts = store(counts, "common-tokens")
     seen, least = 0, common
     for row in counts.groupBy("count").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("count")).toLocalIterator():
@@ -74,44 +76,98 @@ def _common_tokens(groups: DataFrame, common: int, bound: int) -> np.ndarray:
         if seen > bound:
             least = row["count"]
             break
-    found = counts.where(F.col("count") > least).select("token").toArrow()["token"].to_numpy()
-    return np.sort(found)
+    found = counts.where(F.col("count") > least).select("token", "count").toArrow()
+    at = np.argsort(found["token"].to_numpy())
+    return found["token"].to_numpy()[at], found["count"].to_numpy()[at]
+
+
+def _occurrences(values: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each value occurs, by the table of common tokens; 0 for others."""
+    if not len(tokens):
+        return np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+    return np.where(tokens[at] == values, counts[at], 0)
+
+
+def _postings(groups: DataFrame, percent: int, common: tuple[np.ndarray, np.ndarray]) -> tuple[DataFrame, DataFrame]:
+    """Rows ``token, gid, n``, and the ``gid`` of mostly common groups. A set with enough other tokens in its window posts p of
+    them; one that is mostly common posts all others. Two sets that link share a posted token unless both are mostly common."""
+    shared = groups.sparkSession.sparkContext.broadcast(common)
+
+    def windows(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, bool]]:
+        flat = b.column("win").flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(b.column("win").value_lengths().to_numpy())
+        is_free, start = _occurrences(flat, *shared.value) == 0, 0
+        for gid, n, end in zip(b.column("gid").to_pylist(), b.column("n").to_pylist(), ends):
+            p, _, slack = prefix_sizes(n, percent)
+            free = np.flatnonzero(is_free[start:end])
+            enough = len(free) >= p and free[p - 1] + 1 - p <= slack
+            yield gid, n, flat[start:end][free[:p] if enough else free], enough
+            start = end
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            gid, n, tokens, _ = zip(*windows(b)) if b.num_rows else ([], [], [], [])
+            sizes = [len(t) for t in tokens]
+            yield pa.RecordBatch.from_pydict({
+                "token": np.concatenate([*tokens, np.zeros(0, np.int64)]),
+                "gid": np.repeat(np.array(gid, np.int64), sizes), "n": np.repeat(np.array(n, np.int64), sizes),
+            })
+
+    def mostly_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"gid": pa.array([g for g, _, _, enough in windows(b) if not enough], pa.int64())})
 
+    rows = groups.select("gid", "n", "win")
+    return rows.mapInArrow(post, "token bigint, gid bigint, n bigint"), rows.mapInArrow(mostly_common, "gid bigint")
 
-def _postings(groups: DataFrame, percent: int, tokens: np.ndarray) -> DataFrame:
-    """Rows ``token, gid, n``. A set with enough other tokens in its window posts p of them; one that is mostly common posts all
-    others and the common ones of its plain prefix. Two sets that link share a posted token either way."""
-    shared = groups.sparkSession.sparkContext.broadcast(tokens)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = shared.value
+def _fetched(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """The rows of ``wanted`` with the compressed text of their key ``k1``, stored. Rows that are equal throughout may stand
+    there twice."""
+    kinds = {c: t for c, t in wanted.dtypes if c != "k1"}
+    k1, _ = row_key(F.col(id_col), F.col(text_col))
+    texts = docs.select(k1.alias("k1"), F.col(text_col).cast("binary").alias("text")).join(small_side(wanted), "k1")
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            gid, n = b.column("gid").to_numpy(), b.column("n").to_numpy()
-            flat = b.column("win").flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(b.column("win").value_lengths().to_numpy())
-            is_common = np.zeros(len(flat), bool)
-            if len(common):
-                is_common = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat
-            out_t, out_g, out_n, start = [], [], [], 0
-            for i, end in enumerate(ends):
-                w, c = flat[start:end], is_common[start:end]
-                start = end
-                p, _, slack = prefix_sizes(int(n[i]), percent)
-                free = np.flatnonzero(~c)
-                if len(free) >= p and free[p - 1] + 1 - p <= slack:
-                    keep = w[free[:p]]
-                else:
-                    c[p:] = True
-                    c[:p] = False
-                    c[free] = False
-                    keep = w[~c]
-                out_t.append(keep)
-                out_g.append(np.full(len(keep), gid[i]))
-                out_n.append(np.full(len(keep), n[i]))
-            if out_t:
-                yield pa.RecordBatch.from_pydict({"token": np.concatenate(out_t), "gid": np.concatenate(out_g), "n": np.concatenate(out_n)})
-
-    return groups.select("gid", "n", "win").mapInArrow(run, "token bigint, gid bigint, n bigint")
+            blobs = pa.array([z.compress(t or b"") for t in b.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kinds), blobs], [*kinds, "blob"])
+
+    return store(texts.select(*kinds, "text").mapInArrow(squeeze, ", ".join([*(f"{c} {t}" for c, t in kinds.items()), "blob binary"])), name)
+
+
+def _whole_postings(rows: DataFrame, n: int, percent: int, common: int, bound: int) -> DataFrame:
+    """Rows ``token, gid, n`` by which mostly common sets meet each other: the prefixes of the whole sets, rarest tokens
+    first. The tokens are hashed anew, so that they do not meet those of windows."""
+
+    def sets(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+        import zstandard
+
+        z = zstandard.ZstdDecompressor()
+        for at in range(0, b.num_rows, 64):
+            for blob in b.column("blob").slice(at, 64).to_pylist():
+                yield token_set(z.decompress(blob), n)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in sets(b):
+                yield pa.RecordBatch.from_pydict({"token": s})
+
+    shared = rows.sparkSession.sparkContext.broadcast(_common_tokens(rows.mapInArrow(count, "token bigint"), common, bound))
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for gid, s in zip(b.column("gid").to_pylist(), sets(b)):
+                p = prefix_sizes(len(s), percent)[0]
+                first = s[np.argsort(_occurrences(s, *shared.value), kind="stable")[:p]]
+                again = mix(first.view(U) + U(1)).view(np.int64)
+                yield pa.RecordBatch.from_pydict({"token": again, "gid": np.full(len(again), gid), "n": np.full(len(again), len(s))})
+
+    return rows.mapInArrow(post, "token bigint, gid bigint, n bigint").distinct()
 
 
 def _near_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -138,20 +194,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percen
     pairs = store(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
     wanted = store(sets.select("sid", "k1").join(wanted, "sid"), "wanted")
-    k1, _ = row_key(F.col(id_col), F.col(text_col))
-    texts = docs.select(k1.alias("k1"), F.col(text_col).cast("binary").alias("text")).join(small_side(wanted), "k1")
-
-    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        z = zstandard.ZstdCompressor(level=3)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column("sid"), pa.array([z.compress(t or b"") for t in b.column("text").to_pylist()], pa.binary())], ["sid", "blob"]
-            )
-
-    blobs = texts.select("sid", "text").mapInArrow(squeeze, "sid bigint, blob binary")
-    blobs = store(blobs, "texts")  # rows that are equal throughout may stand here twice; their pairs are judged twice
+    blobs = _fetched(docs, wanted, id_col, text_col, "texts")  # pairs of repeated rows are judged twice
     both = pairs.join(blobs.select(F.col("sid").alias("b"), F.col("blob").alias("tb")), "b")
     both = both.join(blobs.select(F.col("sid").alias("a"), F.col("blob").alias("ta")), "a")
 
@@ -196,7 +239,11 @@ def links(
     )
     sets = store(sets.withColumn("gid", F.xxhash64("n", "win")), "sets")
     groups = store(sets.groupBy("gid").agg(F.min("sid").alias("leader"), F.first("n").alias("n"), F.first("win").alias("win")), "groups")
-    postings = _postings(groups, percent, _common_tokens(groups, common, common_tokens))
+    in_windows = _common_tokens(groups.select(F.explode("win").alias("token")), common, common_tokens)
+    postings, mostly_common = _postings(groups, percent, in_windows)
+    whole = store(sets.select("gid", "k1").join(mostly_common, "gid"), "mostly-common")
+    whole = _fetched(docs, whole, id_col, text_col, "mostly-common-texts")
+    postings = postings.unionByName(store(_whole_postings(whole, n, percent, common, common_tokens), "whole-postings"))
     anchors = postings.groupBy("token").agg(
         F.count(F.lit(1)).alias("df"), F.min(F.struct(F.xxhash64("gid").alias("h"), F.col("gid"), F.col("n"))).alias("anchor")
     ).where("df > 1").select("token", F.col("anchor.gid").alias("ag"), F.col("anchor.n").alias("an"))
