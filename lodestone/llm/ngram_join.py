@@ -8,11 +8,16 @@ no pairs. Sets whose windows are mostly common are joined with each other by who
 The pairs of a posting list are found in two steps, so that a list of k near copies makes about k pairs and not k squared: first
 every group meets its list's anchor and every set its group's leader; verified pairs give components. Then pairs are made
 only between different components of one list. No link between different components is lost, so the components are exact.
+
+In the second step a pair is made only if the parity bits of both allow a link: bit i of a set says whether an odd number of its
+tokens has hash i, so two sets differ in at least as many tokens as bits. A group keeps which bits are set in all of its sets and
+which in any. The test is part of the join's condition; it is exact, and most variants of one text that do not link fail it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +29,8 @@ from lodestone.llm.components import components
 from lodestone.session import small_side
 
 COMMON = 20  # a token that more groups have in their window than this is common
+PARITY_WORDS = 4  # parity bits of a set, in words of 64
+BITS = [f"bits{i}" for i in range(PARITY_WORDS)]
 COMMON_TOKENS = 1 << 20  # of those the most frequent are sent to every task: 8 MB; the order is only a matter of speed
 
 
@@ -36,6 +43,12 @@ def token_set(text: bytes | None, n: int) -> np.ndarray:
     return np.unique(ngrams(h, min(n, len(h))).view(np.int64))
 
 
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """Bit i is the parity of the number of tokens with hash i; 64 bits in each of the words."""
+    counts = np.bincount(tokens & (64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def prefix_sizes(size: int, percent: int) -> tuple[int, int, int]:
     """Prefix length, window length, and how many common tokens a set may pass over."""
     p = size - -(-percent * size // 100) + 1
@@ -43,27 +56,30 @@ def prefix_sizes(size: int, percent: int) -> tuple[int, int, int]:
 
 
 def sketches(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, row key, set size, set id and the window of its first tokens."""
+    """Per row: id, row key, set size, set id, parity bits and the window of its first tokens."""
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), F.col(text_col).cast("binary").alias("text"))
     id_type = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, sid, window = [], [], []
+            size, sid, bits, window = [], [], [], []
             for at in range(0, b.num_rows, 512):
                 for t in b.column("text").slice(at, 512).to_pylist():
                     s = token_set(t, n)
                     size.append(len(s))
                     with np.errstate(over="ignore"):
                         sid.append(int(mix(s.view(U)).sum().astype(np.int64)))
+                    bits.append(parity_bits(s))
                     window.append(s[: prefix_sizes(len(s), percent)[1]] if len(s) else s)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("k1"), b.column("k2"), pa.array(size, pa.int64()), pa.array(sid, pa.int64()), pa.array(window, pa.list_(pa.int64()))],
-                ["id", "k1", "k2", "n", "sid", "win"],
+                [b.column("id"), b.column("k1"), b.column("k2"), pa.array(size, pa.int64()), pa.array(sid, pa.int64()), pa.array(window, pa.list_(pa.int64()))]
+                + [pa.array([x[i] for x in bits], pa.int64()) for i in range(PARITY_WORDS)],
+                ["id", "k1", "k2", "n", "sid", "win", *BITS],
             )
 
-    return rows.mapInArrow(run, f"id {id_type}, k1 bigint, k2 bigint, n bigint, sid bigint, win array<bigint>")
+    kinds = "".join(f", {c} bigint" for c in BITS)
+    return rows.mapInArrow(run, f"id {id_type}, k1 bigint, k2 bigint, n bigint, sid bigint, win array<bigint>{kinds}")
 
 
 def _common_tokens(tokens: DataFrame, common: int, bound: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +190,16 @@ def _near_sizes(a: Column, b: Column, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def _parity_allows(sizes: Column, all_a: list[Column], any_a: list[Column], all_b: list[Column], any_b: list[Column], percent: int) -> Column:
+    """Whether so few bits are surely different that a pair with this sum of sizes can be linked."""
+    most = sizes - 2 * F.ceil(sizes * percent / (100 + percent) - 1e-9)
+    differ = [
+        F.bit_count(p.bitwiseAND(F.bitwise_not(q)).bitwiseOR(r.bitwiseAND(F.bitwise_not(o))))
+        for p, o, r, q in zip(all_a, any_a, all_b, any_b)
+    ]
+    return reduce(Column.__add__, differ) <= most
+
+
 def _possible(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups whose windows do not rule a link out: differences in the hash range that both windows cover are
     differences of the sets, and a linked pair has at most ``na + nb - 2 overlap`` of them."""
@@ -235,7 +261,8 @@ def links(
     """
     sketch = store(sketches(docs, n, percent, id_col, text_col), "sketch")
     sets = sketch.where("n > 0").groupBy("sid").agg(
-        F.min("id").alias("id"), F.min("k1").alias("k1"), F.first("n").alias("n"), F.first("win").alias("win")
+        F.min("id").alias("id"), F.min("k1").alias("k1"), F.first("n").alias("n"), F.first("win").alias("win"),
+        *[F.first(c).alias(c) for c in BITS],
     )
     sets = store(sets.withColumn("gid", F.xxhash64("n", "win")), "sets")
     groups = store(sets.groupBy("gid").agg(F.min("sid").alias("leader"), F.first("n").alias("n"), F.first("win").alias("win")), "groups")
@@ -264,24 +291,29 @@ def links(
     first = components(near)
 
     # what may link different components of one list or group
-    member = sets.select("gid", "sid").join(first.select(F.col("node").alias("sid"), "label"), "sid", "left")
+    member = sets.select("gid", "sid", "n", *BITS).join(first.select(F.col("node").alias("sid"), "label"), "sid", "left")
     member = store(member.withColumn("label", F.coalesce("label", "sid")), "members")
-    parts = member.select("gid", "label").distinct()
-    entry = lists.select("token", "gid", "n").join(parts, "gid")
+    parts = member.groupBy("gid", "label").agg(
+        *[F.bit_and(c).alias(f"all_{c}") for c in BITS], *[F.bit_or(c).alias(f"any_{c}") for c in BITS]
+    )
+    entry = lists.select("token", "gid", "n").join(parts.select("gid", "label"), "gid")
     mixed = entry.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-    entry = store(entry.join(mixed, "token"), "mixed-lists")
-    x, y = entry.select("token", F.col("gid").alias("gx"), F.col("n").alias("nx"), F.col("label").alias("lx")), entry.select(
-        "token", F.col("gid").alias("gy"), F.col("n").alias("ny"), F.col("label").alias("ly")
+    entry = store(entry.join(mixed, "token").join(parts, ["gid", "label"]), "mixed-lists")
+    end = lambda s: entry.select("token", *[F.col(c).alias(f"{c}_{s}") for c in entry.columns if c != "token"])
+    of = lambda kind, s: [F.col(f"{kind}{c}_{s}") for c in BITS]
+    fits = _parity_allows(F.col("n_x") + F.col("n_y"), of("all_", "x"), of("any_", "x"), of("all_", "y"), of("any_", "y"), percent)
+    across = end("x").join(end("y"), "token").where(
+        (F.col("label_x") < F.col("label_y")) & (F.col("gid_x") != F.col("gid_y")) & _near_sizes(F.col("n_x"), F.col("n_y"), percent) & fits
     )
-    across = x.join(y, "token").where((F.col("lx") < F.col("ly")) & (F.col("gx") != F.col("gy")) & _near_sizes(F.col("nx"), F.col("ny"), percent))
-    across = across.select(F.least("gx", "gy").alias("ga"), F.greatest("gx", "gy").alias("gb")).distinct()
+    across = across.select(F.least("gid_x", "gid_y").alias("ga"), F.greatest("gid_x", "gid_y").alias("gb")).distinct()
     split = parts.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     own = split.select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
-    side = lambda s: member.select(F.col("gid").alias(f"g{s}"), F.col("sid").alias(s), F.col("label").alias(f"l{s}"))
+    side = lambda s: member.select(F.col("gid").alias(f"g{s}"), F.col("sid").alias(s), F.col("label").alias(f"l{s}"), F.col("n").alias(f"n{s}"), *[F.col(c).alias(f"{c}_{s}") for c in BITS])
+    may = _parity_allows(F.col("na") + F.col("nb"), of("", "a"), of("", "a"), of("", "b"), of("", "b"), percent)
     rest = (
         _possible(across, groups, percent).unionByName(own)
         .join(side("a"), "ga").join(side("b"), "gb")
-        .where((F.col("la") != F.col("lb")) & ((F.col("ga") != F.col("gb")) | (F.col("a") < F.col("b"))))
+        .where((F.col("la") != F.col("lb")) & ((F.col("ga") != F.col("gb")) | (F.col("a") < F.col("b"))) & may)
         .select("a", "b")
     )
     more = _verified(rest, docs, sets, n, percent, id_col, text_col)
@@ -289,7 +321,7 @@ def links(
     named = sets.select("sid", "id").join(label.select(F.col("node").alias("sid"), "label"), "sid", "left")
     named = named.withColumn("label", F.coalesce("label", "sid"))
     smallest = named.groupBy("label").agg(F.min("id").alias("first"))
-    return sketch.drop("win"), store(named.select("sid", "label").join(smallest, "label"), "labels")
+    return sketch.drop("win", *BITS), store(named.select("sid", "label").join(smallest, "label"), "labels")
 
 
 def near_copies(
