@@ -127,6 +127,17 @@ def brute_join(rows, n, percent):
     return [(d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows)]
 
 
+def test_parity_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 40, 3_000):
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, size))
+        b = np.union1d(a[len(a) // 9 :], rng.integers(-(2**63), 2**63 - 1, size // 9))
+        x, y = ngram_join.parity_bits(a), ngram_join.parity_bits(b)
+        assert len(x) == ngram_join.PARITY_WORDS
+        differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b)) and (size > 40 or differ > 0 or size < 9)
+
+
 @pytest.mark.parametrize(("n", "percent", "common"), [(3, 90, 20), (5, 80, 2)])
 def test_jaccard_components(spark, docs, none, n, percent, common):
     rng = random.Random(n)
