@@ -15,7 +15,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    out = line_dedup.without_repeated_chunks(_table(spark, folder, "documents"))
+    out = line_dedup.without_repeated_runs(_table(spark, folder, "documents"))
     return out.select("doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"))
 
 

@@ -80,6 +80,29 @@ def test_chunks_resist_shifts():
     assert len(a - b) <= 1
 
 
+def test_repeated_runs_go_whole(docs, none, spark):
+    rows = sorted({(r.doc_id is None, r.doc_id or 0, r.text or "") for r in docs.collect()})
+    first, runs = {}, [f"run line {i} of a passage" for i in range(9)]
+    base = 20_000
+    planted = [(base, "\n".join(["head", *runs, "tail"]))]
+    planted += [(base + 1 + k, "\n".join([f"before {k}", *runs[a : a + n], f"behind {k}"])) for k, (a, n) in enumerate((a, n) for n in (1, 2, 3, 5, 9) for a in range(10 - n))]
+    planted += [(base + 99, "same\nsame\nsame\nother"), (base + 98, "")]
+    rows += [(False, i, t) for i, t in planted]
+    want = {}
+    for no_id, i, t in sorted(rows, key=lambda r: r[:2]):
+        lines, gone = t.split("\n"), set()
+        for k, pair in enumerate(zip(lines, lines[1:])):
+            if first.setdefault(pair, (no_id, i, k)) != (no_id, i, k):
+                gone |= {k, k + 1}
+        want[no_id, i] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone))
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id long, text string").select(F.col("doc_id").cast(dict(docs.dtypes)["doc_id"]), "text"))
+    got = line_dedup.without_repeated_runs(table).collect()
+    assert len(got) == docs.count() + len(planted)
+    assert {(r.doc_id is None, r.doc_id or 0): (r.text or "", r["__removed"]) for r in got} == want
+    assert {r.text for r in got if r.doc_id and base < r.doc_id < base + 98 and r["__lines"] > 3} == {f"before {k}\nbehind {k}" for k in range(9, 9 + 8 + 7 + 5 + 1)}
+    assert line_dedup.without_repeated_runs(none).count() == 0
+
+
 # -- 2 ----------------------------------------------------------------------------------------------
 
 
