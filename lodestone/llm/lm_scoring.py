@@ -1,7 +1,10 @@
 """Stupid-backoff scores: n-gram count tables partitioned by hash, joined to exploded n-grams, summed per document.
 
 The n-grams of a task are kept as packed arrays, one row per block of texts and hash partition, so that a shuffle moves about
-seven bytes an n-gram instead of a row. Order 2: pairs of words backed off to words.
+seven bytes an n-gram instead of a row.
+
+``ngram_scores`` scores texts by all their counts, to any order. ``lm_scores`` is of order 2, pairs of words backed off to words, with
+pruned tables:
 
     score(w | v) = c(v w) / c(v)     if the pair is in the table
                    0.4 c(w) / N      otherwise
@@ -27,6 +30,8 @@ from lodestone.llm.common import U, hashes, ngrams, pack, row_key, store, unpack
 BACKOFF = 0.4
 BLOCK_WORDS = 500_000
 BYTES_PER_PART = 32 << 20  # bytes of text for each hash partition of the pairs, some four million pairs
+HOT_GRAMS = 1 << 14  # n-grams of each length whose counts are sent to every task
+HOT_SAMPLE, HOT_LEAST = 64 << 20, 8  # bytes of text in which they are looked for, and how often a block must have them
 HOT_PAIRS, HOT_WORDS = 1 << 20, 1 << 22  # bounds of what is sent to every task: 12 MB and 48 MB
 
 
@@ -42,6 +47,14 @@ class Block(NamedTuple):
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.sizes)), self.sizes)
 
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of n words and each one's place; none crosses two texts."""
+        if len(self.words) < n:
+            return np.zeros(0, U), np.zeros(0, np.int64)
+        owner = self.owner
+        at = np.flatnonzero(owner[: len(owner) - n + 1] == owner[n - 1 :])
+        return ngrams(self.words, n)[at], at
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Pair hashes and the place of each pair's first word; no pair crosses two texts."""
         if len(self.words) < 2:
@@ -319,3 +332,169 @@ def _with_rare(out: DataFrame, rows: DataFrame, judge, counts: DataFrame, hot_wo
     copies = out.groupBy("k1").agg(F.count(F.lit(1)).alias("copies"))  # equal rows have one key
     extra = extra.join(copies, "k1").select("k1", (F.col("extra") / F.col("copies")).alias("extra"))
     return out.join(extra, "k1", "left").withColumn("log_score", F.col("log_score") + F.coalesce("extra", F.lit(0.0)))
+
+
+def _weights(block: Block, n: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text and weight of every n-gram of a block: how often the logarithm of its count enters the text's score.
+
+    In a product of c(n-gram) / c(its first n - 1 words) the counts up to ``order`` - 2 cancel out: each is once above and once below
+    the line. Left are the counts of the longest n-grams above, and below those of the n-grams one shorter that are followed by a word
+    and do not begin the text. A text of fewer words than ``order`` has the count of its words together above.
+    """
+    h, at = block.grams(n)
+    owner = block.owner[at]
+    size, j = block.sizes[owner], at - (np.cumsum(block.sizes) - block.sizes)[owner]
+    if n == order:
+        return h, owner, np.ones(len(h), np.int64)
+    inner = (j >= 1) & (j <= size - order) if n == order - 1 else np.zeros(len(h), bool)
+    return h, owner, (size == n).astype(np.int64) - inner
+
+
+def _gathered(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One entry per n-gram and text, sorted by hash, with occurrences and summed weight. What has no weight is only counted, under text 0."""
+    names, code = np.unique(h, return_inverse=True)
+    key, code = np.unique(code.astype(np.int64) * max(texts, 1) + np.where(weight == 0, 0, owner), return_inverse=True)
+    gram, doc = np.divmod(key, max(texts, 1))
+    times, sums = np.bincount(code, minlength=len(key)), np.bincount(code, weights=weight, minlength=len(key))
+    return names[gram], doc.astype(np.uint32), times.astype(np.uint32), sums.astype(np.int32)
+
+
+def _hot_grams(rows: DataFrame, size: int, order: int, bound: int, block_words: int) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], int]:
+    """The n-grams of each length that are most frequent in some of the texts, with their counts in all texts, and the number of all words.
+
+    Which n-grams these are decides only where they are looked up, never a score.
+    """
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, block_words):
+            for n in range(1, order + 1):
+                h, c = np.unique(block.grams(n)[0], return_counts=True)
+                keep = c >= HOT_LEAST
+                yield pa.RecordBatch.from_pydict({
+                    "n": pa.array(np.full(keep.sum(), n, np.int32)), "h": pa.array(h[keep].view(np.int64)), "c": pa.array(c[keep].astype(np.int64)),
+                })
+
+    some = rows.where(F.pmod("k1", F.lit(max(1, size // HOT_SAMPLE))) == 0)
+    seen = some.mapInArrow(frequent, "n int, h bigint, c bigint").groupBy("n", "h").agg(F.sum("c").alias("c"))
+    seen = store(seen, "frequent-grams")
+    pick = lambda n: seen.where(F.col("n") == n).orderBy(F.desc("c"), "h").limit(bound).select("h").toArrow().column("h").to_numpy()
+    names = {n: np.sort(pick(n).astype(np.int64).view(U)) for n in range(1, order + 1)}
+    asked = rows.sparkSession.sparkContext.broadcast(names)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, sums = 0, {n: np.zeros(len(x), np.int64) for n, x in asked.value.items()}
+        for block in _blocks(batches, block_words):
+            words += len(block.words)
+            for n, known in asked.value.items():
+                if len(known):
+                    h = block.grams(n)[0]
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    sums[n] += np.bincount(at[known[at] == h], minlength=len(known))
+        for n, c in [(0, np.array([words])), *sums.items()]:
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_pydict({"n": pa.array(np.full(len(at), n, np.int32)), "at": pa.array(at.astype(np.int32)), "c": pa.array(c[at].astype(np.int64))})
+
+    found = rows.mapInArrow(count, "n int, at int, c bigint").groupBy("n", "at").agg(F.sum("c").alias("c")).toArrow()
+    n, at, c = (found.column(x).to_numpy() for x in ("n", "at", "c"))
+    hot = {}
+    for k, known in names.items():
+        totals = np.zeros(len(known), np.int64)
+        totals[at[n == k]] = c[n == k]
+        hot[k] = (known, totals)
+    return hot, int(c[n == 0].sum())
+
+
+def ngram_scores(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 3, hot_grams: int = HOT_GRAMS,
+    block_words: int = BLOCK_WORDS, bytes_per_part: int = BYTES_PER_PART,
+) -> DataFrame:
+    """Per row ``doc_id, n_words, log_score, per_word`` as ``lm_scores``, by n-grams up to ``order`` words (2 or more) and all their
+    counts, those of n-grams seen once too.
+
+        score(w | u v) = c(u v w) / c(u v)
+
+    and likewise with the words there are at a text's start, whose first word is scored as c(w) / N. The texts are those that are
+    counted, so each of their n-grams has a count and no place backs off.
+
+    The most frequent n-grams are counted first and sent to every task, which takes hot keys out of the shuffle. All others meet
+    once in their hash partition, where they are counted and each text's share is summed; the sums go back to the texts.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    if order < 2:
+        raise ValueError("the order must be 2 or more")
+    k1, _ = row_key(F.col(id_col), F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), F.col(text_col).cast("binary").alias("text"))
+    id_type, arrow_id = dict(rows.dtypes)["id"], to_arrow_type(rows.schema["id"].dataType)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(0, math.ceil(math.log2(max(1, size / bytes_per_part))))
+    found, total = _hot_grams(rows, size, order, hot_grams, block_words)
+    hot, log_n = docs.sparkSession.sparkContext.broadcast(found), math.log(max(1, total))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, block_words):
+            base = np.where(block.sizes > 0, -log_n, 0.0)
+            name = int(hashes([np.array(block.keys, np.int64).tobytes()]).view(np.int64)[0])
+            kind, part, packed = [order], [name % (1 << bits)], [(None,) * 4]
+            for n in range(1, order + 1):
+                h, doc, times, weight = _gathered(*_weights(block, n, order), len(block.sizes))
+                count = _look(hot.value[n], h, 0)
+                base += np.bincount(doc, weights=np.log(np.maximum(count, 1)) * weight, minlength=len(base))
+                h, doc, times, weight = (x[count == 0] for x in (h, doc, times, weight))
+                edge = _cut(h, bits)
+                for p in range(1 << bits):
+                    if edge[p] < edge[p + 1]:
+                        s = slice(edge[p], edge[p + 1])
+                        kind.append(n)
+                        part.append(p)
+                        packed.append((_deltas(h[s]), pack(doc[s]), pack(times[s]), pack(weight[s])))
+            none = [None] * (len(part) - 1)
+            yield pa.RecordBatch.from_pydict({
+                "kind": pa.array(kind, pa.int32()), "part": pa.array(part, pa.int32()), "block": pa.array([name] * len(part), pa.int64()),
+                "ids": pa.array([block.ids, *none], pa.list_(arrow_id)), "ks": pa.array([block.keys, *none], pa.list_(pa.int64())),
+                "n": pa.array([block.sizes, *none], pa.list_(pa.int64())), "base": pa.array([base, *none], pa.list_(pa.float64())),
+                **{c: pa.array([x[i] for x in packed], pa.binary()) for i, c in enumerate(("h", "doc", "times", "w"))},
+            })
+
+    def count(asked: pd.DataFrame) -> pd.DataFrame:
+        doc, s = [None] * len(asked), [None] * len(asked)
+        at = [i for i, x in enumerate(asked["h"]) if x is not None]
+        if at:
+            parts = [_sums(asked["h"].iloc[i]) for i in at]
+            h = np.concatenate(parts)
+            by = np.argsort(h, kind="stable")
+            h = h[by]
+            first = np.diff(h, prepend=~h[:1]) != 0
+            times = np.concatenate([unpack(asked["times"].iloc[i], np.uint32) for i in at]).astype(np.int64)[by]
+            totals = np.add.reduceat(times, np.flatnonzero(first))
+            log_c = np.empty(len(h))
+            log_c[by] = np.log(totals)[np.cumsum(first) - 1]
+            end = 0
+            for i, p in zip(at, parts):
+                value = log_c[end : end + len(p)] * unpack(asked["w"].iloc[i], np.int32)
+                end += len(p)
+                keep = value != 0
+                names, code = np.unique(unpack(asked["doc"].iloc[i], np.uint32)[keep], return_inverse=True)
+                if len(names):
+                    doc[i], s[i] = pack(names), pack(np.bincount(code, weights=value[keep]))
+        out = asked[["block", "ids", "ks", "n", "base"]].assign(doc=doc, s=s)
+        return out[out["ids"].notna() | out["doc"].notna()]
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        heads = group[group["ids"].notna()]
+        copies = len(heads)  # blocks of equal rows throughout have one name; their parts are equal too
+        head = heads.iloc[0]
+        value = np.array(head["base"])
+        for at, s in zip(group["doc"], group["s"]):
+            if at is not None:
+                value[unpack(at, np.uint32)] += unpack(s, np.float64) / copies
+        one = pd.DataFrame({"id": list(head["ids"]), "k1": list(head["ks"]), "n_words": list(head["n"]), "log_score": value})
+        return pd.concat([one] * copies)
+
+    head = f"block bigint, ids array<{id_type}>, ks array<bigint>, n array<bigint>, base array<double>"
+    asked = rows.mapInArrow(ask, f"kind int, part int, {head}, h binary, doc binary, times binary, w binary")
+    summed = asked.groupBy("kind", "part").applyInPandas(count, f"{head}, doc binary, s binary")
+    out = summed.groupBy("block").applyInPandas(add, f"id {id_type}, k1 bigint, n_words bigint, log_score double")
+    return out.select(
+        F.col("id").alias("doc_id"), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("per_word")
+    )

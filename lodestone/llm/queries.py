@@ -20,7 +20,7 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_scoring.lm_scores(_table(spark, folder, "documents"))
+    return lm_scoring.ngram_scores(_table(spark, folder, "documents"))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import ann, decontamination, line_dedup, lm_scoring, mixing, ngram_join, quality, sharding, token_counts, toxicity
+from lodestone.llm import ann, decontamination, line_dedup, lm_scoring, mixing, ngram_join, quality, queries, sharding, token_counts, toxicity
 from lodestone.llm.common import hashes, ngrams, pack, unpack, words
 from lodestone.llm.components import components
 
@@ -124,6 +124,36 @@ def test_lm_scores(docs, none, how):
     assert lm_scoring.lm_scores(none, **how).count() == 0
 
 
+def brute_scores(texts, order):
+    count = Counter(tuple(x[i : i + n]) for x in texts for n in range(1, order + 1) for i in range(len(x) - n + 1))
+    total = sum(map(len, texts))
+
+    def score(x):
+        grams = [tuple(x[max(0, i - order + 1) : i + 1]) for i in range(len(x))]
+        return sum(math.log(count[g] / (count[g[:-1]] if len(g) > 1 else total)) for g in grams)
+
+    return [score(x) for x in texts]
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+@pytest.mark.parametrize("how", [{}, {"hot_grams": 0, "bytes_per_part": 50_000}, {"hot_grams": 40, "block_words": 2_000, "bytes_per_part": 50_000}])
+def test_ngram_scores(docs, none, how, order):
+    rows = docs.collect()
+    texts = [(r.text or "").encode().lower().split() for r in rows]
+    want = by_id((r.doc_id, len(x), y) for r, x, y in zip(rows, texts, brute_scores(texts, order)))
+    got = by_id((r.doc_id, r.n_words, r.log_score) for r in lm_scoring.ngram_scores(docs, order=order, **how).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-9, atol=1e-7)
+    assert lm_scoring.ngram_scores(none, order=order, **how).count() == 0
+
+
+def test_registered_scores_keep_every_count(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    want = dict(zip((r.doc_id for r in rows), brute_scores([(r.text or "").encode().lower().split() for r in rows], 3)))
+    got = {r.doc_id: r.log_score for r in queries.op2_lm_scores(spark, SF).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 1e-7 * max(1, abs(want[k])) for k in want)
+
+
 # -- 3 ----------------------------------------------------------------------------------------------
 
 
