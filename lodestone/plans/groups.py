@@ -46,6 +46,33 @@ def _(t):
     return _page(t.part, lambda: order.sort_spec("+p_size -p_retailprice p_partkey"), ["p_partkey"], 30)
 
 
+def sql_order(columns: str, table: str, by: str) -> str:
+    return f"SELECT {columns}, row_number() OVER (ORDER BY {by}) - 1 AS position FROM {table}"
+
+
+@query("T01_order_by_whole", sql_order("o_orderkey, o_totalprice", "orders", "o_orderpriority ASC, o_totalprice DESC, o_orderkey"))
+def _(t):
+    """Every row with its place in the order."""
+    by = [F.col("o_orderpriority").asc(), F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]
+    return order.number_rows(t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority"), by).drop("o_orderpriority")
+
+
+@query(
+    "T02_locale_order_whole",
+    """WITH w AS (SELECT DISTINCT unnest(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS w FROM documents)
+       SELECT w, row_number() OVER (ORDER BY w COLLATE sv, w) - 1 AS position FROM w""",
+)
+def _(t):
+    words = t.documents.select(F.explode(F.array_distinct(tx.tokens("text"))).alias("w")).distinct()
+    return order.number_rows(words, [order.locale_order("w", "sv"), F.col("w").asc()])
+
+
+@query("T03_sort_spec_whole", sql_order("p_partkey", "part", "p_size ASC, p_retailprice DESC, p_partkey ASC"))
+def _(t):
+    ranked = order.number_rows(t.part.select("p_partkey", "p_size", "p_retailprice"), order.sort_spec("+p_size -p_retailprice p_partkey"))
+    return ranked.select("p_partkey", "position")
+
+
 @query("T04_limit_and_offset", sql_page("o_orderkey", "orders", "o_totalprice DESC, o_orderkey", 25, 40))
 def _(t):
     return _page(t.orders, lambda: [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], ["o_orderkey"], 25, 40)

@@ -275,6 +275,21 @@ def _(t):
     return matching.non_empty(turn_queries(t), "q")[1]
 
 
+@query("P26_non_empty_whole", r"SELECT conv_id, turn, text AS q FROM conversations WHERE coalesce(regexp_matches(text, '[\p{L}\p{N}]'), false)")
+def _(t):
+    """Whole turns as queries."""
+    return matching.non_empty(t.conversations.select("conv_id", "turn", F.col("text").alias("q")), "q")[0]
+
+
+@query(
+    "P26_empty_queries_whole",
+    r"""SELECT conv_id, turn, text AS q, 'the query has no terms' AS error FROM conversations
+        WHERE NOT coalesce(regexp_matches(text, '[\p{L}\p{N}]'), false)""",
+)
+def _(t):
+    return matching.non_empty(t.conversations.select("conv_id", "turn", F.col("text").alias("q")), "q")[1]
+
+
 @query(
     "P27_same_element",
     f"""SELECT doc_id, lang FROM documents WHERE len(list_filter(string_split(text, chr(10)),
@@ -474,6 +489,17 @@ def _(t):
     return matching.match_queries(t.documents, "doc_id", "text", asked, "item_id", "q")
 
 
+@query(
+    "P37_user_input_many_whole",
+    f"""WITH q AS (SELECT item_id, list_distinct({TOK}) AS terms FROM benchmark),
+        d AS (SELECT doc_id, list_distinct({TOK}) AS w FROM documents)
+        SELECT item_id, doc_id, len(terms)::INTEGER AS terms FROM q, d WHERE len(terms) > 0 AND list_has_all(w, terms)""",
+)
+def _(t):
+    """The whole text of each benchmark item as an all-terms query."""
+    return matching.match_queries(t.documents, "doc_id", "text", t.benchmark, "item_id", "text")
+
+
 _where(
     "P38_recall_filter", "documents", DOC, lambda: pr.all_of(F.col("source").isin("src1", "src2", "src3"), tx.contains("text", "this")),
     f"source IN ('src1', 'src2', 'src3') AND {_has('this')}",

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import aggregates as ag, predicates as pr, scalars as sc, text as tx
 from lodestone.operators import grouping, order
+from lodestone.plans import REGISTRY
+from lodestone.plans.registry import Tables
 from lodestone.session import is_small
 
 PRODUCTS = [
@@ -147,3 +149,10 @@ def test_scalars(spark):
         ag.quantiles([], "x")
     with pytest.raises(ValueError):
         ag.quantiles([1.1], "x")
+
+
+@pytest.mark.parametrize("name, table, key", [("T01_order_by_whole", "orders", "o_orderkey"), ("T03_sort_spec_whole", "part", "p_partkey")])
+def test_whole_orders_hold_every_row(spark, folder, name, table, key):
+    rows = REGISTRY[name].build(Tables(spark, folder)).orderBy("position").collect()
+    keys = [r[key] for r in spark.read.parquet(f"{folder}/{table}.parquet").select(key).collect()]
+    assert [r.position for r in rows] == list(range(len(keys))) and sorted(r[key] for r in rows) == sorted(keys)

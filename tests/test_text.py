@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as tx
 from lodestone.operators import matching, ranking
+from lodestone.plans import REGISTRY
+from lodestone.plans.registry import Tables
 
 WORDS = ["ab", "abc", "b", "c", "ä1", "x"]
 SEPARATORS = [" ", ", ", "\n", "--", " . "]
@@ -132,3 +134,9 @@ def test_match_queries_brute_force(spark, texts):
     want = {(q, i) for q, t in queries if toks(t) for i, s in rows if set(toks(t)) <= set(toks(s))}
     pairs = [(r["q"], r["id"]) for r in got.collect()]
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def test_whole_turns_are_queries(spark, folder):
+    t = Tables(spark, folder)
+    asked = [r for n in ("P26_non_empty_whole", "P26_empty_queries_whole") for r in REGISTRY[n].build(t).collect()]
+    assert sorted((r.conv_id, r.turn, r.q or "") for r in asked) == sorted((r.conv_id, r.turn, r.text or "") for r in t.conversations.collect())
