@@ -231,7 +231,9 @@ def match_rules(
     One equality join on route keys finds the candidates and the whole rule is checked on
     them.  A key holds a value list and a range cell together, so the candidates are close
     to the result and a hot value is cut up by its ranges; what stays hot is split by the
-    adaptive skew join.  ``queries`` may be a stream, ``rules`` a stored table.
+    adaptive skew join.  ``queries`` may be a stream, ``rules`` a stored table.  A stream's
+    later batches may read other rules than there were when the plan was built, so its
+    queries are routed to every kind of key, not only to the kinds found then.
 
     Every query can meet many rules; ``spread`` deals queries that come in few partitions
     out over that many before they are multiplied.
@@ -239,7 +241,7 @@ def match_rules(
     if spread:
         queries = queries.repartition(spread)
     keyed = _keyed(rules, rule_column)
-    shapes = _shapes(keyed)
+    shapes = None if queries.isStreaming else _shapes(keyed)
     a, n = F.col(attrs), F.col(ranges)
     keys = _query_routes(a, n) if shapes is None else _shaped_routes(shapes, a, n)
     asked = queries.select("*", F.explode(keys).alias("_route"))

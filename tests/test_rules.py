@@ -1,13 +1,16 @@
 """Rules carried by documents, against brute force."""
 
+import json
 import random
 
+import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
 
 from lodestone.functions import predicates as pr
 from lodestone.operators import matching
+from lodestone.streaming.standing import standing_matches
 
 BIG = 2**62
 
@@ -68,3 +71,30 @@ def test_geo_box_agrees_with_the_distance(spark):
     for lat, lng, km in [(0, 0, 800), (50, 179, 1500), (-50, -179.5, 3000), (88, 10, 900), (-89, 0, 2500), (60, 20, 9000), (10, 10, 19000)]:
         plain = df.where(pr.haversine_km("lat", "lng", lat, lng) <= km).count()
         assert df.where(pr.within_radius("lat", "lng", lat, lng, km)).count() == plain > 0
+
+
+def test_a_stream_meets_rules_of_a_kind_added_later(spark, tmp_path):
+    stored = tmp_path / "rules.json"
+
+    def read(frames):  # the rule table as it is when a batch runs
+        for f in frames:
+            found = json.loads(stored.read_text())
+            yield pd.DataFrame({"rid": [r for r, _, _ in found], "attr": [a for _, a, _ in found], "v": [v for _, _, v in found]})
+
+    rows = spark.range(1).mapInPandas(read, "rid int, attr string, v string")
+    rules = rows.select("rid", F.array(pr.rule_values(F.col("attr"), F.array("v"))).cast(pr.RULE_TYPE).alias("rules"))
+    stored.write_text(json.dumps([(1, "a0", "u")]))
+    schema = "qid int, attrs map<string,string>, nums map<string,bigint>"
+    asked = lambda i: spark.createDataFrame([(i, {"a0": "u", "a1": "v"}, {})], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    asked(1)
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    hits = standing_matches(stream, "attrs", "nums", rules, "rules").select("qid", "rid")
+    run = hits.writeStream.format("memory").queryName("later_rules").start()
+    try:
+        run.processAllAvailable()
+        stored.write_text(json.dumps([(1, "a0", "u"), (2, "a1", "v")]))
+        asked(2)
+        run.processAllAvailable()
+        assert {(r.qid, r.rid) for r in spark.table("later_rules").collect()} == {(1, 1), (2, 1), (2, 2)}
+    finally:
+        run.stop()
