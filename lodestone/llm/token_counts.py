@@ -1,10 +1,11 @@
-"""Exact token counts of a byte-level BPE tokenizer through finite-state transducers.
+"""Exact token counts of a byte-level BPE tokenizer: a finite-state splitter and a memoised merge loop.
 
-Two deterministic transducers are compiled from the tokenizer's file. The first reads character classes and marks where
+A deterministic transducer, compiled from the tokenizer's file, reads character classes and marks where
 pre-tokens begin. It runs over a whole batch in lanes of equal length: each lane is read once from every state, which gives
 its state map; the maps are composed by a parallel prefix scan, which gives each lane's true first state; then every lane is read
-from that state. The second reads a pre-token and emits its number of tokens; its paths are compiled from the merge list when
-they are first met, and kept as transitions labelled with the whole pre-token and its count.
+from that state. The tokens of a pre-token are counted by no transducer: an ordinary heap of merges is run over it when it is first
+met, and the count is kept by the whole pre-token. Merges go by rank anywhere in a pre-token, not from left to right, and have not been
+compiled into transitions that emit counts.
 """
 
 from __future__ import annotations
