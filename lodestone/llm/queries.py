@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import ann, decontamination, line_dedup, lm_scoring, merkle, mixing, ngram_join, quality, sharding, sql, token_counts, toxicity
+from lodestone.llm import ann, decontamination, line_dedup, lm_scoring, merkle, mixing, ngram_join, quality, sharding, sql, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op10_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.uniform_shards(_table(spark, folder, "documents"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    out = warc.archived(_table(spark, folder, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position")
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(_table(spark, folder, "documents"))
 
@@ -65,8 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_lm_scores, op3_ngram_jaccard_join, op4_nearest_vectors, op5_mixing, op6_decontamination, op7_toxicity,
-        op8_token_counts, op9_quality, op10_uniform_shards, op13_merkle_manifest,
+        op8_token_counts, op9_quality, op10_uniform_shards, op11_warc, op13_merkle_manifest,
     )
 }
 
-SQL: dict[str, str] = {"op13_merkle_manifest": sql.OP13}
+SQL: dict[str, str] = {"op11_warc": sql.OP11, "op13_merkle_manifest": sql.OP13}

@@ -62,3 +62,17 @@ root AS (SELECT digest AS root FROM upper_tree WHERE size = 1)
 SELECT l.doc_id, l.leaf, s.digest AS subroot, root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = root AS verified
 FROM leaves l JOIN subroots s USING (tree) JOIN ended e USING (doc_id), root
 """
+
+_KEY = """CASE WHEN contains(url, '://')
+    THEN array_to_string(list_reverse(string_split(lower(regexp_extract(url, '://([^/?#]*)', 1)), '.')), ',') || ')' || regexp_replace(url, '^.*?://[^/?#]*', '')
+    ELSE coalesce(url, '') END"""
+
+OP11 = f"""
+WITH p AS (
+    SELECT page_id, {_KEY} AS url_key, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+f AS (SELECT *, payload_bytes >= 100 AND page_id <> min(page_id) OVER (PARTITION BY payload_digest) AS again, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN first END AS refers_to, url_key, row_number() OVER (ORDER BY url_key, page_id) - 1 AS position
+FROM f
+"""
