@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import ann, decontamination, line_dedup, lm_scoring, merkle, mixing, ngram_join, quality, sharding, sql, token_counts, toxicity, warc
+from lodestone.llm import alignment, ann, decontamination, line_dedup, lm_scoring, merkle, mixing, ngram_join, quality, sharding, sql, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,13 @@ def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position")
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(_table(spark, folder, "documents"), a, b)
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(_table(spark, folder, "documents"))
 
@@ -70,7 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_lm_scores, op3_ngram_jaccard_join, op4_nearest_vectors, op5_mixing, op6_decontamination, op7_toxicity,
-        op8_token_counts, op9_quality, op10_uniform_shards, op11_warc, op13_merkle_manifest,
+        op8_token_counts, op9_quality, op10_uniform_shards, op11_warc, op12_alignment, op13_merkle_manifest,
     )
 }
 
