@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import predicates as pr, text as tx
-from lodestone.operators import matching
+from lodestone.operators import fuzzy, matching
 from lodestone.plans.registry import TOK, Tables, query, sql_tokens
 
 # -- analysis ------------------------------------------------------------------------------------
@@ -197,10 +197,32 @@ _where(
     "P18_fuzzy_token", "part", PART, lambda: tx.fuzzy("p_name", "widgte", 2, 1),
     "len(list_filter(string_split(p_name, ' '), lambda x: levenshtein(x, 'widgte') <= 2 AND left(x, 1) = 'w')) > 0",
 )
-_where(
-    "P18_fuzzy_text", "documents", DOC, lambda: tx.fuzzy("text", "hehelyx", 1, 2),
-    f"len(list_filter({TOK}, lambda x: levenshtein(x, 'hehelyx') <= 1 AND left(x, 2) = 'he')) > 0",
+
+
+@query(
+    "P18_fuzzy_text",
+    f"SELECT {DOC} FROM documents WHERE len(list_filter({TOK}, lambda x: levenshtein(x, 'hehelyx') <= 1 AND left(x, 2) = 'he')) > 0",
+)
+def _(t):
+    return fuzzy.fuzzy_match(t.documents, "doc_id", "text", ["hehelyx"], 1, 2).select(*DOC.split(", "))
+
+
+@query(
+    "P18_fuzzy_many_terms",
+    f"""WITH v AS (SELECT * FROM (SELECT DISTINCT doc_id, unnest({TOK}) AS token FROM documents WHERE lang = 'en') WHERE regexp_full_match(token, '[a-z0-9]+')),
+        near AS (SELECT term, token FROM (SELECT DISTINCT token FROM v),
+                 (SELECT DISTINCT unnest({TOK}) AS term FROM benchmark) WHERE length(term) BETWEEN 9 AND 10 AND regexp_full_match(term, '[a-z0-9]+')
+                 AND abs(length(term) - length(token)) <= 2 AND left(term, 1) = left(token, 1) AND levenshtein(term, token) <= 2)
+        SELECT term, count(DISTINCT token) AS n_tokens, count(DISTINCT doc_id) AS n_docs FROM near JOIN v USING (token) GROUP BY term""",
 )
+def _(t):
+    """All words of nine and ten letters of the benchmark, each against the words of all English texts; ASCII, as the twin counts bytes."""
+    plain = F.col("token").rlike("^[a-z0-9]+$")
+    terms = fuzzy.vocabulary(t.benchmark, "text").where(F.length("token").between(9, 10) & plain).withColumnRenamed("token", "term")
+    hits = fuzzy.fuzzy_hits(t.documents.where("lang = 'en'"), "doc_id", "text", terms, 2, 1).where(plain)
+    return hits.groupBy("term").agg(F.countDistinct("token").alias("n_tokens"), F.countDistinct("doc_id").alias("n_docs"))
+
+
 _where("P19_in", "orders", ORD, lambda: pr.is_in("o_orderpriority", ["1-URGENT", "5-LOW"]), "o_orderpriority IN ('1-URGENT', '5-LOW')")
 
 
