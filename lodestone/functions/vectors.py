@@ -109,6 +109,8 @@ METRICS = {
     "angular": angular,
     "prenormalized": prenormalized_angular,
     "dotproduct": dot,
+    "hamming": lambda a, b: hamming(as_col(a), b),
+    "geodesic": lambda a, b: geodesic(F.get(as_col(a), F.lit(0)), F.get(as_col(a), F.lit(1)), *(b if not isinstance(b, Column) else (b[0], b[1]))),
 }
 
 

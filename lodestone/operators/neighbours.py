@@ -1,23 +1,17 @@
-"""Nearest neighbours: exact, thresholded, bucketed approximate, many queries, hybrid."""
+"""Nearest neighbours: exact, thresholded, bucketed approximate, hybrid; many queries are in ``knn``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import vectors as vx
+from lodestone.operators.knn import nearest_join  # noqa: F401  (part of this module's interface)
 from lodestone.operators.order import top
 from lodestone.operators.ranking import bm25, corpus_stats
-from lodestone.session import is_small
-
-# Fixed bounds of one block of the many-query join: rows of a base block and of a query block.
-BASE_BLOCK = 20_000
-QUERY_BLOCK = 500
 
 
 def nearest(
@@ -54,23 +48,31 @@ def hyperplanes(dims: int, bits: int, tables: int, seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((tables, bits, dims))
 
 
+def _planes_literal(planes: np.ndarray) -> str:
+    rows = [[f"array({', '.join(f'{x!r}D' for x in p)})" for p in table] for table in planes.tolist()]
+    return f"array({', '.join(f'array({", ".join(r)})' for r in rows)})"
+
+
+def bucket_codes(vector: str, planes: np.ndarray) -> Column:
+    """Per table the side of each random hyperplane a vector lies on, as bits; JVM-side, in higher-order functions."""
+    inner = f"aggregate(zip_with(`{vector}`, p, (x, y) -> double(x) * y), 0D, (a, x) -> a + x)"
+    bits = f"transform(t, (p, i) -> IF({inner} > 0, shiftleft(1, i), 0))"
+    return F.expr(f"transform({_planes_literal(planes)}, t -> aggregate({bits}, 0, (a, x) -> a + x))")
+
+
 def with_buckets(df: DataFrame, vector: str, planes: np.ndarray) -> DataFrame:
-    """Adds ``bucket_0..``: the side of each random hyperplane a vector lies on, as bits.
+    """Adds ``bucket_0..``, the code of each table; a null vector has none."""
+    out = df.withColumn("_codes", F.when(F.col(vector).isNotNull(), bucket_codes(vector, planes)))
+    return out.withColumns({f"bucket_{t}": F.get("_codes", F.lit(t)) for t in range(len(planes))}).drop("_codes")
 
-    One matrix product per Arrow batch; as column arithmetic the planes would outgrow a
-    compiled method.  Written with ``partitionBy('bucket_0')`` a later search reads only
-    the probed folders.
-    """
-    tables, bits, dims = planes.shape
-    flat, powers = planes.reshape(tables * bits, dims).T, 1 << np.arange(bits)
 
-    @F.pandas_udf("array<int>")
-    def codes(v: pd.Series) -> pd.Series:
-        side = _matrix(v) @ flat > 0 if len(v) else np.zeros((0, tables * bits), dtype=bool)
-        return pd.Series(list((side.reshape(-1, tables, bits) * powers).sum(2).astype("i4")))
+def write_buckets(df: DataFrame, vector: str, planes: np.ndarray, path: str, mode: str = "error") -> None:
+    """Store every row once a table below ``bucket_table=/bucket=``; codes are computed here and never again.
 
-    out = df.withColumn("_codes", codes(vector))
-    return out.withColumns({f"bucket_{t}": F.col("_codes")[t] for t in range(tables)}).drop("_codes")
+    Rows are rebalanced by folder: small folders share a task, a folder that holds a large share of the rows is split over several.
+    """
+    rows = df.where(F.col(vector).isNotNull()).select("*", F.posexplode(bucket_codes(vector, planes)).alias("bucket_table", "bucket"))
+    rows.hint("rebalance", "bucket_table", "bucket").write.partitionBy("bucket_table", "bucket").mode(mode).parquet(path)
 
 
 def probes(query: Sequence[float], planes: np.ndarray, flips: int = 1) -> list[list[int]]:
@@ -99,114 +101,18 @@ def nearest_approximate(
     return nearest(bucketed.where(cond), key, vector, query, k, metric, where)
 
 
-# -- many queries ---------------------------------------------------------------------------------
-
-
-def _block_top(
-    qm: np.ndarray, bm: np.ndarray, ids: np.ndarray, k: int, metric: str
-) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per query row the ``k`` best (distance, id) of one block, smaller is better, ties by id.
-
-    One matrix product ranks the block; everything at or within rounding of the k-th value
-    is measured again directly, so the order is the exact one.
-    """
-    prod = qm @ bm.T
-    if metric == "euclidean":
-        rough = (bm * bm).sum(1)[None, :] + (qm * qm).sum(1)[:, None] - 2 * prod
-    elif metric == "dotproduct":
-        rough = -prod
-    elif metric == "prenormalized":
-        rough = 1.0 - prod
-    else:
-        rough = 1.0 - prod / np.linalg.norm(qm, axis=1)[:, None] / np.linalg.norm(bm, axis=1)[None, :]
-    kk = min(k, len(ids)) - 1
-    limit = np.partition(rough, kk, axis=1)[:, kk]
-    limit = limit + 1e-9 * np.maximum(1.0, np.abs(limit))
-    out = []
-    for r in range(len(qm)):
-        idx = np.flatnonzero(rough[r] <= limit[r])
-        d = np.sqrt(((bm[idx] - qm[r]) ** 2).sum(1)) if metric == "euclidean" else rough[r, idx]
-        order = np.lexsort((ids[idx], d))[:k]
-        out.append((d[order], ids[idx][order]))
-    return out
-
-
-def _as_batch(q_ids: np.ndarray, best: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    n = [len(d) for d, _ in best]
-    none = np.zeros(0)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.repeat(q_ids, n).astype("i8")),
-            pa.array(np.concatenate([i for _, i in best] or [none]).astype("i8")),
-            pa.array(np.concatenate([d for d, _ in best] or [none])),
-        ],
-        names=["q_id", "b_id", "distance"],
-    )
-
-
-def _matrix(col) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype="f8") for v in col]) if len(col) else np.zeros((0, 1))
-
-
-def nearest_join(
-    base: DataFrame, base_key: str, base_vector: str, queries: DataFrame, query_key: str, query_vector: str,
-    k: int = 10, metric: str = "euclidean", broadcast_rows: int = QUERY_BLOCK * 20, base_rows: int | None = None,
+def nearest_in_buckets(
+    stored: DataFrame, key: str, vector: str, query: Sequence[float], planes: np.ndarray, k: int = 10,
+    metric: str = "euclidean", flips: int = 2, where: Column | None = None,
 ) -> DataFrame:
-    """Exact ``k`` nearest base rows of every query row: ``(query_key, base_key, distance)``.
-
-    Few queries (size checked) are shipped to every task and the base streams past them
-    without a shuffle.  Otherwise both sides are cut into blocks of bounded size and every
-    pair of blocks is one task.  Either way a task returns at most ``k`` rows per query and
-    block, never all pairs, and a second top-k merges them.
-    """
-    b = base.select(F.col(base_key).cast("bigint").alias("b_id"), F.col(base_vector).alias("b_vec"))
-    q = queries.select(F.col(query_key).cast("bigint").alias("q_id"), F.col(query_vector).alias("q_vec"))
-    schema = "q_id bigint, b_id bigint, distance double"
-    if is_small(q, broadcast_rows):
-        qt = q.toArrow()
-        spark = base.sparkSession
-        ship = spark.sparkContext.broadcast(
-            (np.asarray(qt["q_id"]), _matrix(qt["q_vec"].to_numpy()))
-        )
-
-        def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q_ids, qm = ship.value
-            best = [(np.zeros(0), np.zeros(0, dtype="i8")) for _ in q_ids]
-            for batch in batches:
-                ids = np.asarray(batch.column("b_id"))
-                if not len(ids):
-                    continue
-                bm = _matrix(batch.column("b_vec").to_numpy(zero_copy_only=False))
-                for lo in range(0, len(q_ids), QUERY_BLOCK):
-                    for r, (d, i) in enumerate(_block_top(qm[lo : lo + QUERY_BLOCK], bm, ids, k, metric), lo):
-                        # a running top-k per query, so memory does not grow with the partition
-                        d, i = np.append(best[r][0], d), np.append(best[r][1], i)
-                        keep = np.lexsort((i, d))[:k]
-                        best[r] = (d[keep], i[keep])
-            yield _as_batch(q_ids, best)
-
-        partial = b.mapInArrow(stream, schema)
-    else:
-        nb = -(-(base_rows or b.count()) // BASE_BLOCK)
-        nq = -(-q.count() // QUERY_BLOCK)
-        cell = lambda i, n: F.pmod(F.xxhash64(i), F.lit(n)).cast("int")
-        bb = b.withColumn("bb", cell("b_id", nb)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-        qq = q.withColumn("qb", cell("q_id", nq)).withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-
-        def block(qt: pa.Table, bt: pa.Table) -> pa.Table:
-            if not qt.num_rows or not bt.num_rows:
-                return pa.Table.from_batches([_as_batch(np.zeros(0, dtype="i8"), [])])
-            bm, qm = _matrix(bt["b_vec"].to_numpy()), _matrix(qt["q_vec"].to_numpy())
-            best = _block_top(qm, bm, bt["b_id"].to_numpy(), k, metric)
-            return pa.Table.from_batches([_as_batch(qt["q_id"].to_numpy(), best)])
-
-        partial = qq.groupBy("qb", "bb").cogroup(bb.groupBy("qb", "bb")).applyInArrow(block, schema)
-    w = Window.partitionBy("q_id").orderBy("distance", "b_id")
-    best = partial.withColumn("hit_rank", F.row_number().over(w)).where(F.col("hit_rank") <= k)
-    sign = -F.col("distance") if metric == "dotproduct" else F.col("distance")
-    return best.select(
-        F.col("q_id").alias("query_id"), F.col("b_id").alias("neighbour_id"), sign.alias("distance"), "hit_rank"
-    )
+    """As ``nearest_approximate``, over what ``write_buckets`` has stored: the scan lists the probed folders only."""
+    cond = F.lit(False)
+    for t, codes in enumerate(probes(query, planes, flips)):
+        cond = cond | ((F.col("bucket_table") == t) & F.col("bucket").isin(codes))
+    rows = stored.where(cond).drop("bucket_table", "bucket")
+    # a row comes once a table at most, so the k best rows are among so many
+    hits = nearest(rows, key, vector, query, k * len(planes), metric, where).dropDuplicates([key])
+    return top(hits, [F.col("distance").desc() if metric == "dotproduct" else F.col("distance").asc(), F.col(key).asc()], k)
 
 
 # -- hybrid ---------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from lodestone.functions import text as tx, vectors as vx
 from lodestone.operators import neighbours, order, ranking
 from lodestone.plans.registry import TOK, Tables, query, sql_tokens
 from lodestone.plans.texts import SQL_PLACES, SQL_STEM, places
+from lodestone.session import scratch_path
 
 DIMS = 64
 # A query vector by rule, of unit length, and the same in SQL.
@@ -61,7 +62,7 @@ def _(t):
 
 def sql_nearest(k: int, where: str = "true", metric: str = "euclidean", name: str = "distance", extra: str = "true") -> str:
     way = "DESC" if metric == "dotproduct" else "ASC"
-    return f"""SELECT vec_id, round(d, 6) AS {name} FROM (SELECT vec_id, label, {sql_distance(metric)} AS d FROM embeddings)
+    return f"""SELECT vec_id, round(d, 6) AS {name} FROM (SELECT *, {sql_distance(metric)} AS d FROM embeddings)
                WHERE {where} AND {extra} ORDER BY d {way}, vec_id LIMIT {k}"""
 
 
@@ -90,35 +91,80 @@ def _(t):
     return _rounded(out, "near_query")
 
 
-@query("V09_approximate_neighbours")
+# The random planes of the stored buckets, drawn by their seed.
+PLANES = neighbours.hyperplanes(DIMS, bits=4, tables=6)
+FLIPS = 2
+
+
+def sql_probed() -> str:
+    """Rows whose code is among the probed ones of a table; the codes are bits of inner products with the same planes."""
+    any_table = []
+    for planes, codes in zip(PLANES.tolist(), neighbours.probes(QUERY, PLANES, FLIPS)):
+        bits = [f"(CASE WHEN list_inner_product({E64}, {p!r}::DOUBLE[]) > 0 THEN {1 << i} ELSE 0 END)" for i, p in enumerate(planes)]
+        any_table.append(f"{' + '.join(bits)} IN ({', '.join(map(str, codes))})")
+    return " OR ".join(any_table)
+
+
+@query("V09_approximate_neighbours", sql_nearest(10, f"({sql_probed()})"))
 def _(t):
-    """Random hyperplane buckets; the recall is measured in the tests."""
-    planes = neighbours.hyperplanes(DIMS, bits=5, tables=4)
-    bucketed = neighbours.with_buckets(t.embeddings, "embedding", planes)
-    return _rounded(neighbours.nearest_approximate(bucketed, "vec_id", "embedding", QUERY, planes, 10))
+    """Stored buckets: codes are computed by the write, and the search reads the probed folders."""
+    path = scratch_path(t.spark, "buckets")
+    neighbours.write_buckets(t.embeddings, "embedding", PLANES, path)
+    return _rounded(neighbours.nearest_in_buckets(t.spark.read.parquet(path), "vec_id", "embedding", QUERY, PLANES, 10, flips=FLIPS))
+
 
+def sql_all_nearest(distance: str, table: str = "embeddings", key: str = "vec_id", way: str = "", digits: int = 6) -> str:
+    return f"""SELECT query_id, neighbour_id, round(d, {digits}) AS distance, rn::INTEGER AS hit_rank FROM (
+    SELECT q.{key} AS query_id, b.{key} AS neighbour_id, d, row_number() OVER (PARTITION BY q.{key} ORDER BY d {way}, b.{key}) AS rn
+    FROM {table} q, {table} b, LATERAL (SELECT {distance} AS d)) WHERE rn <= 5"""
 
-SQL_ALL_NEAREST = f"""SELECT query_id, neighbour_id, round(d, 6) AS distance, rn::INTEGER AS hit_rank FROM (
-    SELECT q.vec_id AS query_id, b.vec_id AS neighbour_id, d,
-           row_number() OVER (PARTITION BY q.vec_id ORDER BY d, b.vec_id) AS rn
-    FROM embeddings q, embeddings b, LATERAL (SELECT list_distance(q.{E64}, b.{E64}) AS d)) WHERE rn <= 5"""
 
+def _all_nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", digits: int = 6, **options) -> DataFrame:
+    out = neighbours.nearest_join(df, key, vector, df, key, vector, 5, **options)
+    return out.withColumn("distance", F.round("distance", digits))
 
-def _all_nearest(t: Tables, **options) -> DataFrame:
-    e = t.embeddings
-    out = neighbours.nearest_join(e, "vec_id", "embedding", e, "vec_id", "embedding", 5, **options)
-    return out.withColumn("distance", F.round("distance", 6))
+
+SQL_ALL_NEAREST = sql_all_nearest(f"list_distance(q.{E64}, b.{E64})")
 
 
 @query("V10_neighbour_join", SQL_ALL_NEAREST)
 def _(t):
-    return _all_nearest(t)
+    return _all_nearest(t.embeddings)
 
 
 @query("V10_neighbour_join_blocks", SQL_ALL_NEAREST)
 def _(t):
     """The path for a query side too large to ship."""
-    return _all_nearest(t, broadcast_rows=0)
+    return _all_nearest(t.embeddings, broadcast_rows=0, cell_rows=500)
+
+
+def _all_by_metric(metric: str) -> None:
+    way = "DESC" if metric == "dotproduct" else ""
+
+    @query(f"V10_neighbour_join_{metric}", sql_all_nearest(sql_distance(metric, f"q.{E64}", f"b.{E64}"), way=way))
+    def _(t):
+        return _all_nearest(t.embeddings, metric=metric, broadcast_rows=0, cell_rows=500)
+
+
+for _metric in ("angular", "prenormalized", "dotproduct"):
+    _all_by_metric(_metric)
+
+
+@query("V10_neighbour_join_hamming", sql_all_nearest("list_sum(list_transform(list_zip(q.embedding, b.embedding), lambda x: (x[1] > 0) <> (x[2] > 0)))::DOUBLE"))
+def _(t):
+    signs = t.embeddings.select("vec_id", vx.sign_bits("embedding", DIMS).alias("signs"))
+    return _all_nearest(signs, vector="signs", metric="hamming", broadcast_rows=0, cell_rows=500)
+
+
+SQL_KM = """2 * 6371.0 * asin(sqrt(least(1.0, pow(sin((radians(b.lat) - radians(q.lat)) / 2), 2)
+    + cos(radians(q.lat)) * cos(radians(b.lat)) * pow(sin((radians(b.lng) - radians(q.lng)) / 2), 2))))"""
+
+
+@query("V10_neighbour_join_geodesic", sql_all_nearest(SQL_KM, f"(SELECT * FROM ({SQL_PLACES}) WHERE abs(lat) < 80 AND c_custkey <= 720)", "c_custkey", digits=3))
+def _(t):
+    """One customer at each place: the rule for places repeats after 360 keys."""
+    near = places(t).where((F.abs("lat") < 80) & (F.col("c_custkey") <= 720)).select("c_custkey", F.array("lat", "lng").alias("place"))
+    return _all_nearest(near, "c_custkey", "place", 3, metric="geodesic", broadcast_rows=0, cell_rows=500)
 
 
 # -- BM25 --------------------------------------------------------------------------------------------
