@@ -7,7 +7,7 @@ from pyspark.sql.utils import AnalysisException
 from lodestone.functions import updates as up
 from lodestone.operators import writes
 from lodestone.session import scratch_path
-from lodestone.sources.store import MAX_DELTAS, ChunkedSelection, Store, _only_missing
+from lodestone.sources.store import ChunkedSelection, ConcurrentWrite, Folder, Store, _only_missing
 from lodestone.streaming import feed as fd
 
 SCHEMA = "id string, price double, quantity int"
@@ -111,14 +111,63 @@ def test_feed_is_independent_of_batch_order(spark):
     assert results[0] == results[1] == results[2] == {("a", 5.0, 5, 5), ("b", 1.0, 1, 9)}
 
 
-def test_feed_compacts(spark, monkeypatch):
-    monkeypatch.setattr("lodestone.sources.store.MAX_DELTAS", 3)
-    st = Store(spark, scratch_path(spark, "t"), "id")
+def folders(st):
+    return {n: sorted(map(int, (x.partition("=")[2] for x in Folder(st.spark, f"{st.path}/data/{n}").names() if x.startswith("_bucket")))) for n in st._data.names()}
+
+
+def test_a_write_touches_the_buckets_of_its_keys(spark):
+    st = Store(spark, scratch_path(spark, "t"), "id", buckets=8)
+    st.commit(spark.range(400).select("id", F.lit("P").alias("s")))
+    before = set(folders(st))
+    st.put(spark.createDataFrame([(7, "Q", 1)], "id long, s string, _seq int"))
+    (new,) = set(folders(st)) - before
+    assert len(folders(st)[new]) == 1
+    assert st.read().count() == 400 and st.read().where("s = 'Q'").count() == 1
+    assert st.by_selection(F.col("id") == 9, {"s": up.assign("R")}) == 1
+    assert [len(x) for n, x in folders(st).items() if n not in before | {new}] == [1]
+    assert st.by_selection(F.col("id") == 11) == 1 and st.by_selection(F.col("id") == -1) == 0
+    assert st.read().count() == 399 and st.read().where("id = 11").isEmpty()
+    # folders of versions that are gone go too, the state stays
+    assert st.vacuum(older_than=3600) == 0 and st.vacuum(older_than=0) >= 1
+    assert rows(st.read().where("s <> 'P'")) == {(7, "Q"), (9, "R")} and st.read().count() == 399
+
+
+def test_of_two_writers_one_fails(spark):
+    path = scratch_path(spark, "t")
+    one, two = Store(spark, path, "id"), Store(spark, path, "id")
+    one.commit(spark.range(20).select("id", F.lit("P").alias("s")))
+    at = two._latest()
+    one.put(spark.createDataFrame([(1, "Q", 1)], "id long, s string, _seq int"))
+    with pytest.raises(ConcurrentWrite):
+        two._replace(at, [0], two._state(at, [0]))
+    assert two.version() == 1 and two.read().where("s = 'Q'").count() == 1
+    assert not [n for n in one._commits.names() if n.startswith(".")]
+
+
+def test_feed_is_folded_beside_the_stream(spark):
+    st = Store(spark, scratch_path(spark, "t"), "id", buckets=4)
     for i in range(5):
-        st.feed(changes(spark, [("a", float(i), i, i), (f"k{i}", 0.0, 0, i)]), str(i))
-    assert st.commits().where("kind = 'base'").count() == 1
-    assert st.read().count() == 6 and ("a", 4.0, 4, 4) in rows(st.read())
-    assert MAX_DELTAS > 3
+        st.feed(changes(spark, [("a", float(i), i, i), (f"k{i}", 0.0, 0, i)]), str(i), failed=i)
+    assert st.commits().where("kind = 'base'").count() == 0 and len(st._latest()["deltas"]) == 5
+    assert tuple(st.totals().first()) == (5, 20, 10, 10)
+    # a batch that comes while the others are folded stays open
+    append = st._append
+    st._append = lambda *a, **k: (setattr(st, "_append", append), st.feed(changes(spark, [("z", 9.0, 9, 9)]), "late"), append(*a, **k))[2]
+    st.compact()
+    assert len(st._latest()["deltas"]) == 1
+    assert st.read().count() == 7 and ("a", 4.0, 4, 4) in rows(st.read()) and ("z", 9.0, 9, 9) in rows(st.read())
+
+
+def test_chunks_copy_into_a_store(spark):
+    df = spark.range(300).select("id", F.lit("P").alias("s"))
+    work, to = ChunkedSelection(spark, scratch_path(spark, "c"), "id", 4), Store(spark, scratch_path(spark, "t"), "id")
+    to.commit(df.where("id < 10").withColumn("s", F.lit("old")))
+    work.prepare(df)
+    n, _ = work.step(0, F.col("id") % 3 == 0, copy_to=to)
+    work.step(0, F.col("id") % 3 == 0, copy_to=to)  # repeated after a crash: put once
+    assert to.version() == 1 and n > 0
+    assert work.run(F.col("id") % 3 == 0, copy_to=to) == 100
+    assert to.read().where("s = 'P'").count() == 100 and to.read().where("s = 'old'").count() == 6
 
 
 def test_chunks_resume_and_repeat(spark):
