@@ -173,71 +173,6 @@ def update_fields(
     return Applied(state.unionByName(applied(blank, F.lit(True))), errors)
 
 
-# Names of operations as they stand in a change table, for numeric and assigned fields.
-def _apply_named(op: Column, old: Column, arg: Column, dtype: str) -> Column:
-    n = arg.try_cast("double")
-    value = (
-        F.when(op == "assign", arg.try_cast(dtype))
-        .when(op == "clear", F.lit(None).cast(dtype))
-    )
-    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double"):
-        value = (
-            value.when(op == "increment", (old + n).cast(dtype))
-            .when(op == "decrement", (old - n).cast(dtype))
-            .when(op == "multiply", (old * n).cast(dtype))
-            .when(op == "divide", F.try_divide(old, n).cast(dtype))
-        )
-    return value.otherwise(old)
-
-
-def bulk_update(
-    base: DataFrame, updates: DataFrame, key: str, fields: list[str], *, create_if_missing: bool = False
-) -> Applied:
-    """Operations as data: rows ``(key, field, op, value)``, any set of fields per document.
-
-    Rows of one document are folded into one by a conditional aggregate over the declared
-    fields, so nothing is collected per key.  A field named twice for one document is an
-    error and that document is left alone.
-    """
-    slots = []
-    for f in fields:
-        here = F.col("field") == f
-        slots += [
-            F.max(F.when(here, F.struct("op", "value"))).alias(f"_u_{f}"),
-            F.count_if(here).alias(f"_c_{f}"),
-        ]
-    unknown = F.count_if(~F.col("field").isin(fields)).alias("_unknown")
-    folded = updates.groupBy(key).agg(*slots, unknown)
-    repeated = F.greatest(*[F.col(f"_c_{f}") for f in fields], F.lit(0)) > 1
-    bad = repeated | (F.col("_unknown") > 0)
-    errors = folded.where(bad).select(
-        F.col(key).cast("string").alias("id"),
-        F.when(repeated, "one field updated twice in a batch").otherwise("unknown field").alias("message"),
-        F.lit(400).alias("status"),
-    )
-    good = folded.where(~bad).select(key, *[f"_u_{f}" for f in fields])
-    types = dict(base.dtypes)
-
-    def applied(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            *[
-                F.when(F.col(f"_u_{c}").isNull(), F.col(c))
-                .otherwise(_apply_named(F.col(f"_u_{c}.op"), F.col(c), F.col(f"_u_{c}.value"), types[c]))
-                .alias(c)
-                if c in fields
-                else F.col(c)
-                for c in base.columns
-            ]
-        )
-
-    state = applied(base.join(good, key, "left"))
-    absent = good.join(_stored(base, good.select(key), key, F.lit(True)), key, "left_anti")
-    if create_if_missing:
-        blank = absent.withColumns({c: F.lit(None).cast(types[c]) for c in base.columns if c != key})
-        return Applied(state.unionByName(applied(blank)), errors)
-    return Applied(state, errors.unionByName(_failed(absent, key, "document does not exist")))
-
-
 # -- selection-wide ------------------------------------------------------------------------------
 
 
@@ -291,21 +226,39 @@ def feed_summary(total: DataFrame, errors: DataFrame) -> DataFrame:
 
 def bulk_put(
     base: DataFrame, changes: DataFrame, key: str, *, valid: Column | None = None, condition: Column | None = None,
-    create_if_missing: bool = True,
+    create_if_missing: bool = True, conditions: Mapping[str, Column] | None = None,
 ) -> Applied:
-    """Put a whole change table; rows that are not ``valid`` or miss their condition are errors."""
-    good, bad = changes, None
+    """Put a whole change table; every change that is not ``valid`` or misses its condition is an error of its own.
+
+    ``condition`` holds for all documents; with ``conditions`` each change names one in its column ``condition``, null for none.  Conditions
+    see stored columns plainly and those of the change as ``new_<name>``.
+    """
+    good, bad = changes, []
+    ident = F.col(key).cast("string").alias("id")
+
+    def refuse(rows: DataFrame, message: str) -> None:
+        bad.append(rows.select(ident, F.lit(message).alias("message"), F.lit(400).alias("status")))
+
     if valid is not None:
         ok = _selected(valid)
-        good = changes.where(ok)
-        bad = changes.where(~ok).select(
-            F.col(key).cast("string").alias("id"), F.lit("invalid document").alias("message"), F.lit(400).alias("status")
-        )
-    if condition is not None:
-        out = conditional_put(base, good, key, condition, create_if_missing=create_if_missing)
-    else:
+        good = good.where(ok)
+        refuse(changes.where(~ok), "invalid document")
+    if conditions is not None:
+        known = F.col("condition").isNull() | F.col("condition").isin(list(conditions))
+        refuse(good.where(~known), "unknown condition")
+        good = good.where(known)
+        for name, c in conditions.items():
+            held = F.when(F.col("new_condition") == name, F.coalesce(c, F.lit(False))).otherwise(F.lit(True))
+            condition = held if condition is None else condition & held
+    if condition is None:
         out = Applied(put(base, good, key), base.sparkSession.createDataFrame([], "id string, message string, status int"))
-    return out if bad is None else Applied(out.state, out.errors.unionByName(bad))
+    else:
+        out = conditional_put(base, good, key, condition, create_if_missing=create_if_missing)
+        # a document's earlier changes in the batch fail with the one that was judged
+        out = Applied(out.state, good.select(ident).join(out.errors, "id").select("id", "message", "status"))
+    for rows in bad:
+        out = Applied(out.state, out.errors.unionByName(rows))
+    return out
 
 
 def bulk_delete(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:

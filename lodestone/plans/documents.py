@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions import ids, updates as up, vectors as vx
-from lodestone.operators import parents, writes
+from lodestone.operators import bulk, parents, writes
 from lodestone.plans.registry import Tables, query
 from lodestone.session import scratch_path
 from lodestone.sources import extra, jsonl, tables
@@ -505,7 +505,7 @@ dup AS (SELECT c_custkey FROM per INTERSECT SELECT c_custkey FROM mul)"""
         LEFT JOIN dup ON dup.c_custkey = c.c_custkey""",
 )
 def _(t):
-    return writes.bulk_update(t.customer, bulk_ops(t), "c_custkey", ["c_acctbal", "c_mktsegment"]).state
+    return bulk.bulk_update(t.customer, bulk_ops(t), "c_custkey", ["c_acctbal", "c_mktsegment"]).state
 
 
 @query(
@@ -516,7 +516,107 @@ def _(t):
         WHERE c_custkey NOT IN (SELECT c_custkey FROM customer) AND c_custkey NOT IN (SELECT c_custkey FROM dup)""",
 )
 def _(t):
-    return writes.bulk_update(t.customer, bulk_ops(t), "c_custkey", ["c_acctbal", "c_mktsegment"]).errors
+    return bulk.bulk_update(t.customer, bulk_ops(t), "c_custkey", ["c_acctbal", "c_mktsegment"]).errors
+
+
+def tagged(t: Tables) -> DataFrame:
+    """Customers with the priorities of their orders and a count by status."""
+    of = t.orders.groupBy("o_custkey").agg(
+        F.sort_array(F.collect_set("o_orderpriority")).alias("tags"),
+        F.map_from_arrays(F.array(F.lit("F"), F.lit("O")), F.array(F.count_if(F.col("o_orderstatus") == "F"), F.count_if(F.col("o_orderstatus") == "O"))).alias("counts"),
+    )
+    return t.customer.join(of, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "c_acctbal", "tags", "counts")
+
+
+def typed_ops(t: Tables) -> DataFrame:
+    """An operation chosen by key for every customer, some under a condition, some that cannot be applied."""
+    k = F.col("c_custkey")
+    kinds = [
+        ("tags", "add", '["NEW"]', None, "rich"), ("tags", "remove", '["1-URGENT", "5-LOW"]', None, None), ("tags", "assign", "FIRST", "0", None),
+        ("counts", "increment", "9007199254740993", "F", None), ("counts", "remove", '["O"]', None, "rich"), ("counts", "add", '{"P": 7}', None, None),
+        ("c_acctbal", "multiply", "abc", None, None), ("c_acctbal", "twice", "1", None, None), ("c_acctbal", "decrement", "10.5", None, "poor"),
+    ]
+    picked = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(("field", "op", "value", "at", "condition"), x)]) for x in kinds]
+    return t.customer.select("c_custkey", F.inline(F.array(F.element_at(F.array(*picked), (k % len(kinds) + 1).cast("int")))))
+
+
+CONDITIONS = {"rich": F.col("c_acctbal") > 5000, "poor": F.col("c_acctbal") < 5000}
+
+
+def _typed(t: Tables) -> writes.Applied:
+    return bulk.bulk_update(tagged(t), typed_ops(t), "c_custkey", ["c_acctbal", "tags", "counts"], conditions=CONDITIONS)
+
+
+SQL_TAGGED = """tagged AS (SELECT c_custkey, c_acctbal, list_sort(list(DISTINCT o_orderpriority)) AS tags,
+    count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o
+    FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL)"""
+
+
+@query(
+    "S24_bulk_update_typed",
+    f"""WITH {SQL_TAGGED}, g AS (SELECT *, c_custkey % 9 AS k FROM tagged)
+        SELECT c_custkey, CASE WHEN k = 8 AND c_acctbal < 5000 THEN c_acctbal - 10.5 ELSE c_acctbal END AS c_acctbal,
+            array_to_string(CASE WHEN k = 0 AND c_acctbal > 5000 THEN list_append(tags, 'NEW')
+                WHEN k = 1 THEN list_filter(tags, lambda x: x NOT IN ('1-URGENT', '5-LOW'))
+                WHEN k = 2 THEN list_concat(['FIRST'], tags[2:]) ELSE tags END, ',') AS tags,
+            CASE WHEN k = 3 THEN f + 9007199254740993 ELSE f END AS f, CASE WHEN k = 4 AND c_acctbal > 5000 THEN NULL ELSE o END AS o,
+            CASE WHEN k = 5 THEN 7::BIGINT END AS p
+        FROM g""",
+)
+def _(t):
+    out = _typed(t).state
+    return out.select("c_custkey", "c_acctbal", F.array_join("tags", ",").alias("tags"), *[F.try_element_at("counts", F.lit(x)).alias(x.lower()) for x in "FOP"])
+
+
+@query(
+    "S24_bulk_update_typed_errors",
+    f"""WITH {SQL_TAGGED}, g AS (SELECT c.c_custkey, c.c_custkey % 9 AS k, t.c_acctbal AS held FROM customer c LEFT JOIN tagged t USING (c_custkey))
+        SELECT c_custkey::VARCHAR AS id, CASE WHEN k = 6 THEN 'operand of multiply does not fit' WHEN k = 7 THEN 'unknown operation twice'
+            WHEN held IS NULL THEN 'document does not exist' ELSE 'condition not met' END AS message, CASE WHEN k IN (6, 7) THEN 400 ELSE 412 END AS status
+        FROM g WHERE k IN (6, 7) OR held IS NULL OR k IN (0, 4) AND NOT held > 5000 OR k = 8 AND NOT held < 5000""",
+)
+def _(t):
+    return _typed(t).errors
+
+
+@query(
+    "S23_bulk_put_conditions",
+    f"""WITH {SQL_LOG}, named AS (SELECT log.*, log.c_custkey % 3 AS k, c.c_acctbal AS held FROM log LEFT JOIN customer c ON c.c_custkey = log.c_custkey)
+        SELECT c_custkey::VARCHAR AS id, 'condition not met' AS message, 412 AS status, count(*) AS changes
+        FROM named WHERE k = 1 AND held IS NOT NULL AND NOT held > 5000 GROUP BY ALL""",
+)
+def _(t):
+    """Every change of a document whose stored row misses the condition that the change names."""
+    log = event_log(t).drop("_op").withColumn("condition", F.when(F.col("c_custkey") % 3 == 1, "rich"))
+    out = writes.bulk_put(t.customer, log, "c_custkey", conditions=CONDITIONS)
+    return out.errors.groupBy("id", "message", "status").agg(F.count(F.lit(1)).alias("changes"))
+
+
+@query(
+    "S13_store_put",
+    f"""WITH {SQL_LOG} SELECT {CUST} FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM last) UNION ALL SELECT {CUST} FROM last WHERE _op = 'put'""",
+)
+def _(t):
+    """The same upsert into a stored table: only the buckets of changed keys are written anew."""
+    store = Store(t.spark, scratch_path(t.spark, "store"), "c_custkey")
+    store.commit(t.customer)
+    store.put(event_log(t))
+    return store.read()
+
+
+@query(
+    "S22_chunked_copy_into_store",
+    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 350000 OR o_orderkey % 50 = 0",
+)
+def _(t):
+    """Chunk by chunk into a store that holds other documents and some of the same."""
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    to = Store(t.spark, scratch_path(t.spark, "store"), "o_orderkey")
+    to.commit(rows.where("o_orderkey % 50 = 0"))
+    work = ChunkedSelection(t.spark, scratch_path(t.spark, "chunks"), "o_orderkey", 3)
+    work.prepare(rows)
+    work.run(F.col("o_totalprice") > 350000, copy_to=to)
+    return to.read()
 
 
 @query("S25_bulk_delete", "SELECT * FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)")

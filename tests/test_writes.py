@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lodestone.functions import updates as up
-from lodestone.operators import writes
+from lodestone.operators import bulk, writes
 from lodestone.session import scratch_path
 from lodestone.sources.store import ChunkedSelection, ConcurrentWrite, Folder, Store, _only_missing
 from lodestone.streaming import feed as fd
@@ -67,10 +67,10 @@ def test_bulk_update_as_data(spark, base):
          ("c", "nothing", "assign", "1"), ("q", "price", "assign", "4")],
         "id string, field string, op string, value string",
     )
-    out = writes.bulk_update(base, ups, "id", ["price", "quantity"])
+    out = bulk.bulk_update(base, ups, "id", ["price", "quantity"])
     assert rows(out.state) == {("a", 200.0, None), ("b", 5.0, 1), ("c", 200.0, None)}
     assert {r["id"]: r["status"] for r in out.errors.collect()} == {"b": 400, "c": 400, "q": 412}
-    made = writes.bulk_update(base, ups, "id", ["price", "quantity"], create_if_missing=True)
+    made = bulk.bulk_update(base, ups, "id", ["price", "quantity"], create_if_missing=True)
     assert ("q", 4.0, None) in rows(made.state)
 
 
