@@ -15,6 +15,8 @@ from lodestone.session import cut
 
 DEFAULT_MAX_GROUPS = 10
 DEFAULT_MAX_HITS = 10
+# Sub-groups that stand in one array of a tree.
+MOST_SUBGROUPS = 100_000
 
 
 def group_by(
@@ -89,29 +91,44 @@ class Level:
     order: Sequence[Column] = ()
     max_groups: int | None = None
     extra: dict = field(default_factory=dict)
+    #: For trees: the best rows of every group of this level, by this order, so many, these columns.
+    hits: tuple[Sequence[Column], int, Sequence[str]] | None = None
+
+
+def group_states(df: DataFrame, levels: Sequence[Level]) -> DataFrame:
+    """The groups of all levels from one scan: a rollup whose partial aggregates merge before the shuffle.
+
+    Every level's outputs stand in columns of their own; ``_level`` counts from 0, and paths with a null belong to no level.
+    """
+    names = [lv.name for lv in levels]
+    base = df.withColumns({lv.name: as_col(lv.expr) for lv in levels})
+    outputs = [c.alias(f"_o{i}_{n}") for i, lv in enumerate(levels) for n, c in lv.outputs.items()]
+    level = F.lit(len(names) - 1) - F.bit_count(F.grouping_id())
+    states = base.rollup(*names).agg(*outputs, level.cast("int").alias("_level")).where("_level >= 0")
+    whole = F.lit(True)
+    for i, n in enumerate(names):
+        whole = whole & ((F.col("_level") < i) | F.col(f"`{n}`").isNotNull())
+    return states.where(whole)
 
 
 def nested_groups(df: DataFrame, levels: Sequence[Level]) -> list[DataFrame]:
     """One DataFrame per level, keyed by the path of group values down to it.
 
-    Each level is one aggregate with map-side combine.  Where a level keeps only its best
-    groups, deeper levels are semi-joined with the kept paths.
+    The rows are read once at any depth; what is kept and read by the levels are groups.  Where a level keeps only its best groups,
+    deeper levels are semi-joined with the kept paths.
     """
     names = [lv.name for lv in levels]
-    base = df.withColumns({lv.name: as_col(lv.expr) for lv in levels})
+    states = cut(group_states(df, levels))
     out: list[DataFrame] = []
     kept: DataFrame | None = None
     for i, lv in enumerate(levels):
         path = names[: i + 1]
-        g = base.dropna(subset=path).groupBy(*path).agg(*[c.alias(n) for n, c in lv.outputs.items()])
+        g = states.where(F.col("_level") == i).select(*path, *[F.col(f"_o{i}_{n}").alias(n) for n in lv.outputs])
         if kept is not None:
             g = g.join(kept, names[:i], "left_semi")
         if lv.max_groups is not None:
             g = top_groups(g, names[:i], lv.name, lv.order, lv.max_groups)
-            # few rows, read again by every deeper level: keep them instead of rescanning
-            g = cut(g) if i + 1 < len(levels) else g
-            kept = g.select(*path)
-        elif kept is not None:
+        if lv.max_groups is not None or kept is not None:
             kept = g.select(*path)
         out.append(g)
     return out
@@ -183,30 +200,44 @@ def groups_and_hits(
     }
 
 
-def group_tree(df: DataFrame, levels: Sequence[Level], label: str | None = None) -> DataFrame:
-    """Nested result: label, value, outputs and an ordered array of sub-groups.
+def _bounded(position: Column) -> Column:
+    """Fail where a parent has more groups than an array should hold; nothing is dropped."""
+    text = F.lit(f"more than {MOST_SUBGROUPS} groups in one parent: name max_groups, or take nested_groups")
+    return F.when(position > MOST_SUBGROUPS, F.raise_error(text).cast("boolean")).otherwise(True)
+
 
-    A level keeps all its groups unless it names ``max_groups``; a level with very many groups makes long arrays, for which
-    ``nested_groups`` gives flat tables.
+def group_tree(df: DataFrame, levels: Sequence[Level]) -> DataFrame:
+    """Nested result: label, value, outputs, the best hits where a level asks for them, and an ordered array of sub-groups.
+
+    A level keeps all its groups unless it names ``max_groups``; a parent with more than ``MOST_SUBGROUPS`` of them is an error, for
+    which ``nested_groups`` gives flat tables.  The outermost groups are rows, in order, as many as there are.
     """
-    bounded = list(levels)
-    tables = nested_groups(df, bounded)
+    tables = nested_groups(df, levels)
+    base = df.withColumns({lv.name: as_col(lv.expr) for lv in levels})
     below: DataFrame | None = None
-    for i in range(len(bounded) - 1, -1, -1):
-        lv, g = bounded[i], tables[i]
-        parents = [x.name for x in bounded[:i]]
+    for i in range(len(levels) - 1, -1, -1):
+        lv, g = levels[i], tables[i]
+        parents = [x.name for x in levels[:i]]
+        path = [*parents, lv.name]
         outs = F.struct(*[F.col(n) for n in lv.outputs])
         fields = [F.lit(lv.name).alias("label"), F.col(lv.name).cast("string").alias("value"), outs.alias("aggregations")]
+        if lv.hits is not None:
+            by, n, columns = lv.hits
+            best = group_hits(base, path, by, n)
+            row = F.struct("hit_rank", F.struct(*columns).alias("row"))
+            packed = F.transform(F.array_sort(F.collect_list(row)), lambda e: e["row"]).alias("_hits")
+            g = g.join(best.groupBy(*path).agg(packed), path, "left")
+            fields.append(F.col("_hits").alias("hits"))
         if below is not None:
-            g = g.join(below, [*parents, lv.name], "left")
+            g = g.join(below, path, "left")
             fields.append(F.col("_groups").alias("groups"))
-        w = Window.partitionBy(*parents).orderBy(*lv.order, F.col(lv.name).asc())
-        g = g.withColumn("_pos", F.row_number().over(w))
+        order = [*lv.order, F.col(lv.name).asc()]
         if i == 0:
-            return g.orderBy("_pos").select(*fields)
+            return g.orderBy(*order).select(*fields)
+        g = g.withColumn("_pos", F.row_number().over(Window.partitionBy(*parents).orderBy(*order))).where(_bounded(F.col("_pos")))
         packed = F.array_sort(F.collect_list(F.struct(F.col("_pos"), F.struct(*fields).alias("g"))))
         below = g.groupBy(*parents).agg(F.transform(packed, lambda e: e["g"]).alias("_groups"))
-    return below
+    raise ValueError("a tree needs a level")
 
 
 # -- exact quantiles -------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -540,11 +540,12 @@ def typed_ops(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", F.inline(F.array(F.element_at(F.array(*picked), (k % len(kinds) + 1).cast("int")))))
 
 
-CONDITIONS = {"rich": F.col("c_acctbal") > 5000, "poor": F.col("c_acctbal") < 5000}
+def conditions() -> dict[str, Column]:
+    return {"rich": F.col("c_acctbal") > 5000, "poor": F.col("c_acctbal") < 5000}
 
 
 def _typed(t: Tables) -> writes.Applied:
-    return bulk.bulk_update(tagged(t), typed_ops(t), "c_custkey", ["c_acctbal", "tags", "counts"], conditions=CONDITIONS)
+    return bulk.bulk_update(tagged(t), typed_ops(t), "c_custkey", ["c_acctbal", "tags", "counts"], conditions=conditions())
 
 
 SQL_TAGGED = """tagged AS (SELECT c_custkey, c_acctbal, list_sort(list(DISTINCT o_orderpriority)) AS tags,
@@ -588,7 +589,7 @@ def _(t):
 def _(t):
     """Every change of a document whose stored row misses the condition that the change names."""
     log = event_log(t).drop("_op").withColumn("condition", F.when(F.col("c_custkey") % 3 == 1, "rich"))
-    out = writes.bulk_put(t.customer, log, "c_custkey", conditions=CONDITIONS)
+    out = writes.bulk_put(t.customer, log, "c_custkey", conditions=conditions())
     return out.errors.groupBy("id", "message", "status").agg(F.count(F.lit(1)).alias("changes"))
 
 

@@ -331,6 +331,33 @@ def _(t):
     return tree.select("value", "label", F.col("aggregations.n").alias("n"), F.array_join(sub, ",").alias("sub"))
 
 
+@query(
+    "G13_group_tree_hits",
+    """WITH h AS (SELECT o_orderpriority AS p, o_orderkey AS k, o_totalprice AS v FROM orders
+           QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) <= 3),
+       s AS (SELECT o_orderpriority AS p, o_orderstatus AS st, o_orderkey AS k FROM orders
+           QUALIFY row_number() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_orderkey) = 1)
+       SELECT p AS value, n, (SELECT string_agg(k, ',' ORDER BY v DESC, k) FROM h WHERE h.p = g.p) AS hits,
+           (SELECT string_agg(st || ':' || k, ',' ORDER BY st) FROM s WHERE s.p = g.p) AS sub
+       FROM (SELECT o_orderpriority AS p, count(*) AS n FROM orders GROUP BY 1) g""",
+)
+def _(t):
+    """Hits in the groups of both levels."""
+    best = [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]
+    tree = grouping.group_tree(
+        t.orders,
+        [
+            grouping.Level("p", "o_orderpriority", {"n": ag.count()}, hits=(best, 3, ["o_orderkey"])),
+            grouping.Level("st", "o_orderstatus", {"n": ag.count()}, hits=([F.col("o_orderkey").asc()], 1, ["o_orderkey"])),
+        ],
+    )
+    first = F.transform("groups", lambda g: F.concat_ws(":", g["value"], g["hits"][0]["o_orderkey"].cast("string")))
+    return tree.select(
+        "value", F.col("aggregations.n").alias("n"), F.array_join(F.transform("hits", lambda h: h["o_orderkey"].cast("string")), ",").alias("hits"),
+        F.array_join(first, ",").alias("sub"),
+    )
+
+
 # -- aggregates ------------------------------------------------------------------------------------
 
 

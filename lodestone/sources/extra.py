@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import as_col
 
 
-def capture_extra(df: DataFrame, json: str, declared: Mapping[str, str], into: str = "extra") -> DataFrame:
+def capture_extra(df: DataFrame, doc_column: str, declared: Mapping[str, str], into: str = "extra") -> DataFrame:
     """Declared fields (name -> type) as columns, every other one in ``map<string,string>``.
 
     Values of the map are JSON text, so that strings, numbers and objects round-trip.
     """
-    doc = F.try_parse_json(json)
+    doc = F.try_parse_json(doc_column)
     raw = F.try_variant_get(doc, "$", "map<string,variant>")
     names = F.array(*[F.lit(n) for n in declared]).cast("array<string>")
     rest = F.transform_values(
@@ -28,8 +29,8 @@ def capture_extra(df: DataFrame, json: str, declared: Mapping[str, str], into: s
 
 def flat_json(declared: Mapping[str, Column | str], extra: Column | str) -> Column:
     """The inverse: declared fields and the extra map as one flat JSON object."""
-    parts = [F.concat(F.lit(f'"{n}":'), _value(as_col(c))) for n, c in declared.items()]
-    more = F.transform(F.map_entries(as_col(extra)), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
+    parts = [F.concat(F.lit(json.dumps(n) + ":"), _value(as_col(c))) for n, c in declared.items()]
+    more = F.transform(F.map_entries(as_col(extra)), lambda e: F.concat(_value(e["key"]), F.lit(":"), e["value"]))
     every = F.concat(F.filter(F.array(*parts), lambda p: p.isNotNull()), F.coalesce(more, F.array().cast("array<string>")))
     return F.concat(F.lit("{"), F.array_join(every, ","), F.lit("}"))
 

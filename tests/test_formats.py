@@ -1,5 +1,6 @@
 """Ids, JSONL, extra fields, tensors, column sets."""
 
+import json
 import re
 
 import pytest
@@ -19,21 +20,21 @@ def test_ids(spark):
 
 def test_tensor_layouts(spark):
     cases = {
-        "[1, 2.5, 3]": [({}, [1.0, 2.5, 3.0])],
-        "[[1,2],[3,4]]": [({}, [1.0, 2.0, 3.0, 4.0])],
-        '{"values": [[2.0, 3.0], [5.0, 7.0]]}': [({}, [2.0, 3.0, 5.0, 7.0])],
-        '{"a": 1, "b": -2}': [({"x": "a"}, [1.0]), ({"x": "b"}, [-2.0])],
-        '{"cells": {"a": 1}}': [({"x": "a"}, [1.0])],
-        '{"x1": [1, 2], "x2": [3, 4]}': [({"x": "x1"}, [1.0, 2.0]), ({"x": "x2"}, [3.0, 4.0])],
-        '{"blocks": {"p": [9, 8]}}': [({"x": "p"}, [9.0, 8.0])],
-        '{"blocks": [{"address": {"x": "a", "y": "b"}, "values": [1, 2]}]}': [({"x": "a", "y": "b"}, [1.0, 2.0])],
-        '[{"address": {"x": "a", "y": "0"}, "value": 4}]': [({"x": "a", "y": "0"}, [4.0])],
-        '{"cells": [{"address": {"x": "a"}, "value": 4}]}': [({"x": "a"}, [4.0])],
+        "[0.25, -6, 11]": [({}, [0.25, -6.0, 11.0])],
+        "[[8,6],[4,2]]": [({}, [8.0, 6.0, 4.0, 2.0])],
+        '{"values": [[0.5, 12.0], [13.0, 14.5]]}': [({}, [0.5, 12.0, 13.0, 14.5])],
+        '{"fern": 31, "moss": -7}': [({"x": "fern"}, [31.0]), ({"x": "moss"}, [-7.0])],
+        '{"cells": {"reed": 19}}': [({"x": "reed"}, [19.0])],
+        '{"elm": [21, 22], "oak": [23, 24]}': [({"x": "elm"}, [21.0, 22.0]), ({"x": "oak"}, [23.0, 24.0])],
+        '{"blocks": {"ivy": [-1, -3]}}': [({"x": "ivy"}, [-1.0, -3.0])],
+        '{"blocks": [{"address": {"row": "r7", "col": "c9"}, "values": [0.75, 0]}]}': [({"row": "r7", "col": "c9"}, [0.75, 0.0])],
+        '[{"address": {"row": "r2", "col": "5"}, "value": 66}]': [({"row": "r2", "col": "5"}, [66.0])],
+        '{"cells": [{"address": {"tree": "yew"}, "value": 17}]}': [({"tree": "yew"}, [17.0])],
     }
     df = spark.createDataFrame([(k,) for k in cases], "j string")
     for r in df.select("j", vx.tensor_cells("j").alias("c")).collect():
         assert [(c["address"], c["values"]) for c in r["c"]] == cases[r["j"]], r["j"]
-    assert df.limit(1).select(vx.tensor_dense("j")).first()[0] == [1.0, 2.5, 3.0]
+    assert df.limit(1).select(vx.tensor_dense("j")).first()[0] == [0.25, -6.0, 11.0]
 
 
 def test_tensor_types():
@@ -62,14 +63,16 @@ def test_jsonl_lines(spark):
 
 
 def test_extra_fields_round_trip(spark):
-    docs = ['{"pop":1.5,"freq":2,"other":"x \\"q\\"","deep":{"a":[1,2]}}', '{"freq":7}', "{broken"]
+    docs = ['{"weight":0.75,"legs":4,"note":"a \\"b\\"","box":{"w":[3,9]},"odd \\"key\\"\\\\":1}', '{"legs":6}', "{broken"]
+    declared = {"weight": "double", "legs": "int"}
     df = spark.createDataFrame([(d,) for d in docs], "doc string")
-    got = extra.capture_extra(df, "doc", {"pop": "double", "freq": "int"})
-    flat = got.select("pop", "freq", "extra", extra.flat_json({"pop": F.col("pop"), "freq": F.col("freq")}, "extra").alias("flat")).collect()
-    assert flat[0]["pop"] == 1.5 and flat[0]["freq"] == 2 and set(flat[0]["extra"]) == {"other", "deep"}
-    again = extra.capture_extra(spark.createDataFrame([(flat[0]["flat"],)], "doc string"), "doc", {"pop": "double", "freq": "int"}).first()
-    assert again["extra"] == flat[0]["extra"] and again["pop"] == 1.5
-    assert flat[1]["flat"] == '{"freq":7}' and flat[2]["freq"] is None
+    got = extra.capture_extra(df, "doc", declared)
+    flat = got.select("weight", "legs", "extra", extra.flat_json({"weight": F.col("weight"), "legs": F.col("legs")}, "extra").alias("flat")).collect()
+    assert flat[0]["weight"] == 0.75 and flat[0]["legs"] == 4 and set(flat[0]["extra"]) == {"note", "box", 'odd "key"\\'}
+    assert json.loads(flat[0]["flat"]) == json.loads(docs[0])
+    again = extra.capture_extra(spark.createDataFrame([(flat[0]["flat"],)], "doc string"), "doc", declared).first()
+    assert again["extra"] == flat[0]["extra"] and again["weight"] == 0.75
+    assert flat[1]["flat"] == '{"legs":6}' and flat[2]["legs"] is None
 
 
 def test_columns_and_types(spark):

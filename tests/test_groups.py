@@ -12,14 +12,12 @@ from lodestone.plans.registry import Tables
 from lodestone.session import is_small
 
 PRODUCTS = [
-    ("Gaming Laptop", 1499.0, "electronics", True, 5), ("Office Mouse", 29.0, "accessories", True, 50),
-    ("Mechanical Keyboard", 149.0, "accessories", True, 20), ("Monitor 27 inch", 399.0, "electronics", False, 0),
-    ("USB-C Hub", 49.0, "accessories", True, 100),
+    ("Oak Desk", 820.0, "tables", True, 4), ("Reading Lamp", 35.5, "lights", True, 61), ("Floor Lamp", 128.0, "lights", True, 17),
+    ("Side Table", 260.0, "tables", False, 0), ("Night Light", 12.0, "lights", True, 140),
 ]
 ITEMS = [
-    ("Alpha Widget", 100.0, "premium", "widgets", True), ("Beta Widget", 200.0, "standard", "widgets", True),
-    ("Gamma Gadget", 300.0, "premium", "gadgets", False), ("Delta Gadget", 400.0, "standard", "gadgets", True),
-    ("Epsilon Widget", 150.0, "premium", "widgets", True), ("Zeta Gadget", 250.0, "budget", "gadgets", True),
+    ("Copper Kettle", 64.0, "gift", "kitchen", True), ("Wheelbarrow", 180.0, "daily", "garden", True), ("Bread Knife", 31.0, "daily", "kitchen", True),
+    ("Garden Rake", 45.0, "gift", "garden", False), ("Salt Mill", 22.0, "sale", "kitchen", True), ("Watering Can", 27.0, "daily", "garden", True),
 ]
 
 
@@ -38,7 +36,7 @@ def test_filters(products):
     assert n(pr.compare("price", "<", 100)) == 2
     assert n(pr.in_range("price", 50, 500)) == 2
     assert n(pr.compare("in_stock", "=", False)) == 1
-    assert n(tx.contains("name", "mouse")) == 1
+    assert n(tx.contains("name", "desk")) == 1
     with pytest.raises(TypeError):
         pr.compare("name", "=", "x")
     with pytest.raises(ValueError):
@@ -47,25 +45,47 @@ def test_filters(products):
 
 def test_group_and_hits(products):
     hits = grouping.group_hits(products, ["category"], [F.col("price").desc()], 2)
-    assert sorted(r["price"] for r in hits.where("category = 'electronics'").collect()) == [399.0, 1499.0]
+    assert sorted(r["price"] for r in hits.where("category = 'tables'").collect()) == [260.0, 820.0]
     assert hits.groupBy("category").count().where("count > 2").count() == 0
 
 
 def test_collapse(items):
     best = order.collapse(items, "kind", [F.col("price").desc()])
-    assert {(r["kind"], r["price"]) for r in best.collect()} == {("widgets", 200.0), ("gadgets", 400.0)}
+    assert {(r["kind"], r["price"]) for r in best.collect()} == {("kitchen", 64.0), ("garden", 180.0)}
     assert order.collapse(items, "kind", [F.col("price")], 2).count() == 4
 
 
 def test_nested_groups(spark):
-    df = spark.createDataFrame([("cat-a", True), ("cat-a", False), ("cat-b", True), ("cat-b", True)], "cat string, stock boolean")
-    levels = [grouping.Level("cat", "cat", {"n": ag.count()}), grouping.Level("stock", "stock", {"n": ag.count()})]
+    rows = [("north", 3, 7.0), ("north", 3, 2.0), ("north", 5, 9.0), ("south", 3, 1.0), ("south", None, 4.0), (None, 3, 8.0), ("west", 4, 0.5)]
+    df = spark.createDataFrame(rows, "area string, size int, v double")
+    levels = [
+        grouping.Level("area", "area", {"n": ag.count()}, [F.col("n").desc()], 2, hits=([F.col("v").desc()], 2, ["v"])),
+        grouping.Level("size", "size", {"n": ag.count(), "most": ag.greatest("v")}, hits=([F.col("v")], 1, ["v", "area"])),
+    ]
     top, sub = grouping.nested_groups(df, levels)
-    assert {(r["cat"], r["n"]) for r in top.collect()} == {("cat-a", 2), ("cat-b", 2)}
-    assert {tuple(r) for r in sub.collect()} == {("cat-a", True, 1), ("cat-a", False, 1), ("cat-b", True, 2)}
-    tree = grouping.group_tree(df, levels).collect()
-    assert [r["value"] for r in tree] == ["cat-a", "cat-b"]
-    assert [(g["value"], g["aggregations"]["n"]) for g in tree[0]["groups"]] == [("false", 1), ("true", 1)]
+    assert {tuple(r) for r in top.collect()} == {("north", 3), ("south", 2)}
+    assert {tuple(r) for r in sub.collect()} == {("north", 3, 2, 7.0), ("north", 5, 1, 9.0), ("south", 3, 1, 1.0)}
+    tree = grouping.group_tree(df, levels)
+    rows = tree.collect()
+    assert [(r["value"], r["aggregations"]["n"], [h["v"] for h in r["hits"]]) for r in rows] == [("north", 3, [9.0, 7.0]), ("south", 2, [4.0, 1.0])]
+    subs = [[(g["label"], g["value"], g["aggregations"]["most"], [tuple(h) for h in g["hits"]]) for g in r["groups"]] for r in rows]
+    assert subs == [[("size", "3", 7.0, [(2.0, "north")]), ("size", "5", 9.0, [(9.0, "north")])], [("size", "3", 1.0, [(1.0, "south")])]]
+
+
+def test_levels_share_one_scan(spark, tmp_path, monkeypatch):
+    spark.range(300).select((F.col("id") % 3).alias("a"), (F.col("id") % 5).alias("b"), (F.col("id") % 7).alias("c")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    levels = [grouping.Level(x, x, {"n": ag.count()}) for x in "abc"]
+    assert grouping.group_states(df, levels)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    out = grouping.nested_groups(df, levels)
+    assert [x.count() for x in out] == [3, 15, 105]
+    assert "FileScan" not in "".join(x._jdf.queryExecution().executedPlan().toString() for x in out)
+    tree = grouping.group_tree(df, levels)
+    plan = tree._jdf.queryExecution().optimizedPlan().toString()
+    assert all("windowspecdefinition(a" in x for x in plan.split("\n") if x.lstrip("+- :").startswith("Window"))  # no window over all root groups
+    monkeypatch.setattr(grouping, "MOST_SUBGROUPS", 6)
+    with pytest.raises(Exception, match="max_groups"):
+        grouping.group_tree(df, levels).collect()
 
 
 def test_buckets_drop_what_is_outside(spark):

@@ -101,7 +101,7 @@ def test_hand_made(spark):
     )
     assert r[0] == "<b>The</b> <b>thE</b> other, <b>the</b>-end"
     assert r[1] == "" and r[2] and not r[3]
-    assert one(spark, "bluetooth", tx.fuzzy_value("s", "bluetoth", 2))[0]
+    assert one(spark, "cardamom", tx.fuzzy_value("s", "cradamom", 2))[0]
     url = "https://user:pw@www.example.com:80/en/shop?x=1"
     got = one(
         spark, url, tx.uri("s", "www.example", start_anchor=True), tx.uri("s", "example.com", start_anchor=True),
