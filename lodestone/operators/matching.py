@@ -93,12 +93,15 @@ def rank_of(df: DataFrame, first: Column, **features: Column) -> DataFrame:
 # -- rules carried by documents, many queries ---------------------------------------------------
 
 
-# Fixed bounds of range routing: a cell level is 16 times as wide as the one below it.
+# Fixed bounds of range routing: a cell level is 16 times as wide as the one below it, and the widest covers every bigint range.
 CELL_BITS = 4
-CELL_LEVELS = 8
+CELL_LEVELS = 16
 
-# Most kinds of route key that are spelled out one by one on the query side.
-MAX_SHAPES = 64
+# Most kinds of route key that are sent to all tasks; beyond them a query asks for every kind there could be.
+MOST_KINDS = 10_000
+
+# Rules with neither a value list nor a range meet every query; they are dealt out over so many routes.
+SALTS = 8
 
 
 def _cell(value: Column, level: Column) -> Column:
@@ -127,20 +130,18 @@ def _range_level(ranged: Column) -> Column:
     return level
 
 
-def _rule_routes(listed: Column, ranged: Column, level: Column) -> Column:
-    """Route keys of one rule: its first value list x the cells of its first range.
-
-    A range too wide for the coarsest level is routed by its attribute alone.
-    """
+def _rule_routes(listed: Column, ranged: Column, level: Column, salt: Column) -> Column:
+    """Route keys of one rule: its first value list x the cells of its first range; a salt where it has neither."""
     shift = lambda c: F.call_function("shiftright", c, level * CELL_BITS)
-    cells = F.when(ranged["hi"] < ranged["lo"], F.array().cast("array<string>")).when(
-        level.isNotNull(),
+    none = F.array().cast("array<string>")
+    cells = F.when(level.isNull() | (ranged["hi"] < ranged["lo"]), none).otherwise(
         F.transform(
             F.sequence(shift(ranged["lo"]), shift(ranged["hi"])),
             lambda c: _route(ranged["attr"], F.concat_ws(":", level.cast("string"), c.cast("string"))),
         ),
-    ).otherwise(F.array(_route(ranged["attr"], F.lit("*"))))
-    range_part = F.when(ranged.isNotNull(), cells).otherwise(F.array(F.lit("-")))
+    )
+    alone = F.when(listed.isNull(), F.array(_route(F.lit("-"), salt.cast("string")))).otherwise(F.array(F.lit("-")))
+    range_part = F.when(ranged.isNotNull(), cells).otherwise(alone)
     list_part = F.when(
         listed.isNotNull(), F.transform(F.array_distinct(listed["values"]), lambda v: _route(listed["attr"], v))
     ).otherwise(F.array(F.lit("-")))
@@ -148,7 +149,7 @@ def _rule_routes(listed: Column, ranged: Column, level: Column) -> Column:
 
 
 def _keyed(rules: DataFrame, rule_column: str) -> DataFrame:
-    """Rules with the two conditions that make their route keys."""
+    """Rules with the two conditions that make their route keys, and a salt."""
     r = F.col(rule_column)
     first = lambda pred: F.array_position(F.transform(r, pred), True).cast("int") - 1
     out = rules.withColumns(
@@ -157,7 +158,7 @@ def _keyed(rules: DataFrame, rule_column: str) -> DataFrame:
             "_at_list": first(_is_list), "_at_range": first(_is_range),
         }
     )
-    return out.withColumn("_level", _range_level(F.col("_ranged")))
+    return out.withColumns({"_level": _range_level(F.col("_ranged")), "_salt": F.pmod(F.xxhash64(F.to_json(F.struct(*rules.columns))), F.lit(SALTS))})
 
 
 def _routed(keyed: DataFrame, rule_column: str, columns: Sequence[str]) -> DataFrame:
@@ -170,53 +171,44 @@ def _routed(keyed: DataFrame, rule_column: str, columns: Sequence[str]) -> DataF
     rest = F.filter(F.col(rule_column), lambda _, i: ~F.coalesce(done(i), F.lit(False)))
     return keyed.select(
         *columns, rest.alias("_rest"),
-        F.explode(_rule_routes(F.col("_listed"), F.col("_ranged"), F.col("_level"))).alias("_route"),
+        F.explode(_rule_routes(F.col("_listed"), F.col("_ranged"), F.col("_level"), F.col("_salt"))).alias("_route"),
     )
 
 
-def _query_routes(attrs: Column, ranges: Column) -> Column:
-    """Every key a rule that accepts the query can have."""
-    lists = F.transform(F.map_entries(attrs), lambda e: _route(e["key"], e["value"]))
-    levels = F.sequence(F.lit(0), F.lit(CELL_LEVELS - 1))
-    cells = F.flatten(
-        F.transform(
-            F.map_entries(ranges),
-            lambda e: F.concat(
-                F.transform(levels, lambda n: _route(e["key"], _cell(e["value"], n))), F.array(_route(e["key"], F.lit("*")))
-            ),
-        )
-    )
-    none = F.array(F.lit("-"))
-    return _product(F.concat(lists, none), F.concat(cells, none))
+def _kind(listed: Column, ranged: Column) -> Column:
+    """Name of a kind of rule: the attributes of its list and of its range."""
+    return F.concat_ws("\u0002", F.coalesce(listed, F.lit("-")), F.coalesce(ranged, F.lit("-")))
 
 
-def _shapes(rules: DataFrame) -> list | None:
-    """The distinct (list attribute, range attribute, level) of the rules' keys, if they are few.
+def _kinds(keyed: DataFrame) -> Column:
+    """A map from each kind of rule to its cell levels, as a scalar subquery: every batch of a stream reads it anew.
 
-    Their number depends on the attributes, not on the rules; reading stops past the bound.
+    Its size goes with the attributes, not with the rules; with more than ``MOST_KINDS`` it is null.
     """
-    kinds = rules.where(~F.coalesce(F.col("_ranged")["hi"] < F.col("_ranged")["lo"], F.lit(False))).select(
-        F.col("_listed")["attr"].alias("list"), F.col("_ranged")["attr"].alias("range"), F.col("_level").alias("level")
-    )
-    found = kinds.distinct().limit(MAX_SHAPES + 1).collect()
-    return found if len(found) <= MAX_SHAPES else None
-
-
-def _shaped_routes(shapes: list, attrs: Column, ranges: Column) -> Column:
-    """One key per kind of rule key for which the query has the attributes."""
-    keys = []
-    for s in shapes:
-        value = F.lit("-")
-        if s["list"] is not None:
-            v = F.try_element_at(attrs, F.lit(s["list"]))
-            value = F.when(v.isNotNull(), _route(F.lit(s["list"]), v))
-        cell = F.lit("-")
-        if s["range"] is not None:
-            n = F.try_element_at(ranges, F.lit(s["range"]))
-            at = F.lit("*") if s["level"] is None else _cell(n, F.lit(s["level"]))
-            cell = F.when(n.isNotNull(), _route(F.lit(s["range"]), at))
-        keys.append(F.when(value.isNotNull() & cell.isNotNull(), F.concat_ws("\u0002", value, cell)))
-    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<string>")
+    found = keyed.select(_kind(F.col("_listed.attr"), F.col("_ranged.attr")).alias("kind"), F.coalesce("_level", F.lit(0)).alias("level"))
+    some = found.groupBy("kind").agg(F.collect_set("level").alias("levels")).limit(MOST_KINDS + 1)
+    whole = F.map_from_entries(F.collect_list(F.struct("kind", "levels")))
+    return some.agg(F.when(F.count(F.lit(1)) <= MOST_KINDS, whole).alias("kinds")).scalar()
+
+
+def _query_routes(attrs: Column, ranges: Column, kinds: Column) -> Column:
+    """Every key that a rule which accepts the query has, of the kinds there are (null: of any kind)."""
+    none = F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value"))
+    lists = F.concat(F.coalesce(F.map_entries(attrs.cast("map<string,string>")), F.array()), F.array(none))
+    spans = F.concat(F.coalesce(F.map_entries(ranges.cast("map<string,string>")), F.array()), F.array(none))
+    any_level = F.sequence(F.lit(0), F.lit(CELL_LEVELS - 1))
+
+    def routes(e: Column, r: Column) -> Column:
+        levels = F.when(kinds.isNull(), any_level).otherwise(F.coalesce(F.try_element_at(kinds, _kind(e["key"], r["key"])), F.array().cast("array<int>")))
+        listed = F.when(e["key"].isNull(), F.lit("-")).otherwise(_route(e["key"], e["value"]))
+        free = F.when(e["key"].isNotNull(), F.array(F.lit("-"))).otherwise(
+            F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda n: _route(F.lit("-"), n.cast("string")))
+        )
+        cells = F.transform(levels, lambda n: _route(r["key"], _cell(r["value"].cast("bigint"), n)))
+        right = F.when(F.size(levels) == 0, F.array().cast("array<string>")).when(r["key"].isNull(), free).otherwise(cells)
+        return F.transform(right, lambda x: F.concat_ws("\u0002", listed, x))
+
+    return F.flatten(F.transform(lists, lambda e: F.flatten(F.transform(spans, lambda r: routes(e, r)))))
 
 
 def _product(a: Column, b: Column) -> Column:
@@ -231,9 +223,8 @@ def match_rules(
     One equality join on route keys finds the candidates and the whole rule is checked on
     them.  A key holds a value list and a range cell together, so the candidates are close
     to the result and a hot value is cut up by its ranges; what stays hot is split by the
-    adaptive skew join.  ``queries`` may be a stream, ``rules`` a stored table.  A stream's
-    later batches may read other rules than there were when the plan was built, so its
-    queries are routed to every kind of key, not only to the kinds found then.
+    adaptive skew join.  ``queries`` may be a stream, ``rules`` a stored table: which kinds of
+    key there are is part of the plan, so every batch asks for the kinds of that moment.
 
     Every query can meet many rules; ``spread`` deals queries that come in few partitions
     out over that many before they are multiplied.
@@ -241,10 +232,8 @@ def match_rules(
     if spread:
         queries = queries.repartition(spread)
     keyed = _keyed(rules, rule_column)
-    shapes = None if queries.isStreaming else _shapes(keyed)
-    a, n = F.col(attrs), F.col(ranges)
-    keys = _query_routes(a, n) if shapes is None else _shaped_routes(shapes, a, n)
-    asked = queries.select("*", F.explode(keys).alias("_route"))
+    asked = queries.withColumn("_kinds", _kinds(keyed))
+    asked = asked.withColumn("_route", F.explode(_query_routes(F.col(attrs), F.col(ranges), F.col("_kinds")))).drop("_kinds")
     # a rule's keys differ from each other and so do a query's: no pair meets twice
     pairs = asked.join(_routed(keyed, rule_column, rules.columns), "_route")
     holds = (F.size("_rest") == 0) | rule_holds("_rest", F.col(attrs), F.col(ranges))

@@ -40,9 +40,9 @@ def accepts(conds, attrs, ranges):
     return True
 
 
-@pytest.mark.parametrize("max_shapes", [64, 1])
-def test_many_queries(spark, monkeypatch, max_shapes):
-    monkeypatch.setattr(matching, "MAX_SHAPES", max_shapes)
+@pytest.mark.parametrize("most_kinds", [10_000, 1])
+def test_many_queries(spark, monkeypatch, most_kinds):
+    monkeypatch.setattr(matching, "MOST_KINDS", most_kinds)
     rng = random.Random(11)
     rs = rules(rng, 120)
     qs = []
