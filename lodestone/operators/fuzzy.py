@@ -64,6 +64,18 @@ def near_tokens(words: DataFrame, terms: DataFrame, max_edits: int = 2, prefix_l
     return pairs.withColumn("edits", F.levenshtein("term", "token", max_edits)).where("edits >= 0")
 
 
+def _heads(terms: Sequence[str], max_edits: int, prefix_length: int) -> str:
+    """Pattern of the whole tokens that begin as a term does and have a length that it allows; the search skips ahead by the letters."""
+    lengths: dict[str, list[int]] = {}
+    for t in terms:
+        lengths.setdefault(t[:prefix_length], []).append(len(t))
+    each = []
+    for head, n in lengths.items():
+        least, most = max(0, min(n) - max_edits - len(head)), max(n) + max_edits - len(head)
+        each.append(f"{tx._start(head)}{tx.WORD}{{{least},{most}}}+")
+    return f"(?:{'|'.join(each)}){tx.RIGHT}"
+
+
 def fuzzy_hits(
     df: DataFrame, key: str, text: str, terms: Sequence[str] | DataFrame, max_edits: int = 2, prefix_length: int = 0,
     an: tx.Analyzer = tx.DEFAULT, words: DataFrame | None = None,
@@ -74,11 +86,15 @@ def fuzzy_hits(
     column ``token``.  Without one the texts are read twice, for their vocabulary and for the hits, unless exact first letters leave so few
     tokens that these are kept between the two.
     """
+    found = tx.tokens(text, an)
     if not isinstance(terms, DataFrame):
-        terms = df.sparkSession.createDataFrame([(t,) for term in terms for t in tx._query(term, an)], "term string")
+        asked = [t for term in terms for t in tx._query(term, an)]
+        terms = df.sparkSession.createDataFrame([(t,) for t in asked], "term string")
+        if prefix_length:
+            found = F.regexp_extract_all(an.text(text), F.lit(_heads(asked, max_edits, prefix_length)), 0)
     else:
         terms = cut(terms.select("term").where("term IS NOT NULL").distinct())
-    tokens = df.select(F.col(key), F.explode(tx.tokens(text, an)).alias("token"))
+    tokens = df.select(F.col(key), F.explode(found).alias("token"))
     if prefix_length:
         tokens = cut(plausible(tokens, terms, max_edits, prefix_length).distinct())
     if words is None:
