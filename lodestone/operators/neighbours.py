@@ -121,13 +121,19 @@ def nearest_in_buckets(
 def hybrid(
     docs: DataFrame, key: str, text: str, vector: str, query: Sequence[float], terms: Sequence[str],
     target_hits: int = 100, text_weight: float = 1.0, where: Column | None = None, metric: str = "euclidean",
-    stats: DataFrame | None = None,
+    stats: DataFrame | None = None, vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Neighbours retrieve, text adds to the score: ``closeness + weight * bm25``.
 
-    Only the ``target_hits`` retrieved rows are scored on their text.
+    Only the ``target_hits`` retrieved rows are scored on their text.  Where the vectors stand in a table of their own (``vectors``, with the
+    same key), rows are retrieved by keys alone, and the texts meet no more than those hits.
     """
-    hits = nearest(docs, key, vector, query, target_hits, metric, where)
+    if vectors is None:
+        hits = nearest(docs, key, vector, query, target_hits, metric, where)
+    else:
+        wanted = (docs if where is None else docs.where(where)).select(key)
+        found = nearest(vectors.select(key, vector).join(wanted, key, "left_semi"), key, vector, query, target_hits, metric)
+        hits = docs.join(F.broadcast(found.select(key, "distance")), key)  # target_hits rows
     if stats is None:
         stats = corpus_stats(docs, text, terms)
     scored = bm25(hits, text, terms, stats=stats, matched_only=False)

@@ -107,31 +107,34 @@ def conditional_put(
 
     ``condition`` names stored columns plainly and columns of the change as ``new_<name>``.
     """
-    last, held, created, errors = _judge(base, changes, key, condition, create_if_missing, seq)
-    ok = held.unionByName(created) if created is not None else held
-    applied = last.join(ok, key, "left_semi").select(*base.columns)
-    return Applied(base.join(held, key, "left_anti").unionByName(applied), errors)
+    last, met, errors = _judge(base, changes, key, condition, create_if_missing, seq)
+    types = dict(base.dtypes)
+    # the stored rows are read once: each is replaced, or not, where it meets its change
+    new = [F.when(F.col("_ok"), F.col(f"new_{c}").cast(types[c])).otherwise(F.col(c)).alias(c) if c != key else F.col(key) for c in base.columns]
+    state = met.select(*new)
+    if create_if_missing:
+        state = state.unionByName(last.join(base.select(key), key, "left_anti").select(*base.columns))
+    return Applied(state, errors)
 
 
 def conditional_delete(base: DataFrame, changes: DataFrame, key: str, condition: Column, seq: str = "_seq") -> Applied:
-    _, held, _, errors = _judge(base, changes, key, condition, False, seq)
-    return Applied(base.join(held, key, "left_anti"), errors)
+    _, met, errors = _judge(base, changes, key, condition, False, seq)
+    return Applied(met.where(~F.col("_ok")).select(*base.columns), errors)
 
 
 def _judge(base, changes, key, condition, create_if_missing, seq):
-    """Keys whose stored row holds the condition, keys to create, and the failures."""
+    """The last changes; every stored row with its change and whether that applies (``_ok``); the failures."""
     last = last_wins(changes, key, seq)
-    new = last.select(key, *[F.col(c).alias(f"new_{c}") for c in last.columns if c != key])
-    stored = base.join(new, key).select(key, F.coalesce(condition, F.lit(False)).alias("_ok"))
-    # one pass over all changes: not stored, stored and held, stored and not held
-    verdict = last.select(key).join(stored, key, "left")
-    held = verdict.where(F.col("_ok")).select(key)
-    created = verdict.where(F.col("_ok").isNull()).select(key) if create_if_missing else None
-    failed = verdict.where(F.col("_ok") == F.lit(False))
-    errors = _failed(failed, key, "condition not met")
+    new = last.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"new_{c}") for c in last.columns if c != key])
+    met = base.join(new, key, "left").withColumn("_ok", F.coalesce(F.col("_hit") & condition, F.lit(False)))
+    # null where the document is not stored
+    verdict = last.select(key).join(_stored(base, new, key, condition), key, "left")
+    failed = F.col("_ok") == F.lit(False)
     if not create_if_missing:
-        errors = errors.unionByName(_failed(verdict.where(F.col("_ok").isNull()), key, "document does not exist"))
-    return last, held, created, errors
+        failed = F.coalesce(failed, F.lit(True))
+    message = F.when(F.col("_ok").isNull(), "document does not exist").otherwise("condition not met")
+    errors = verdict.where(failed).select(F.col(key).cast("string").alias("id"), message.alias("message"), F.lit(CONDITION_FAILED).alias("status"))
+    return last, met, errors
 
 
 def _stored(base: DataFrame, changed: DataFrame, key: str, ok: Column) -> DataFrame:

@@ -251,10 +251,10 @@ def _(t):
 )
 def _(t):
     docs = t.documents
-    both = docs.join(t.embeddings, docs["doc_id"] == F.col("vec_id"))
+    vectors = t.embeddings.withColumnRenamed("vec_id", "doc_id")
     stats = ranking.corpus_stats(docs, "text", ["this", "from"])
     out = neighbours.hybrid(
-        both, "doc_id", "text", "embedding", QUERY, ["this", "from"], 100, 0.5, where=F.col("lang") == "en", stats=stats
+        docs, "doc_id", "text", "embedding", QUERY, ["this", "from"], 100, 0.5, where=F.col("lang") == "en", stats=stats, vectors=vectors
     )
     return _scored(out)
 

@@ -259,3 +259,12 @@ def test_field_operations(spark):
     dense = spark.createDataFrame([([1.0, 2.0],)], "v array<double>")
     cells = F.create_map(F.lit(1), F.lit(5.0), F.lit(8), F.lit(1.0))
     assert dense.select(up.modify_dense("add", cells)(F.col("v"))).first()[0] == [1.0, 7.0]
+
+
+def test_conditions_read_the_stored_rows_once(spark, base, tmp_path):
+    base.write.parquet(str(tmp_path / "t"))
+    stored, ch = spark.read.parquet(str(tmp_path / "t")), changes(spark, [("a", 1.0, 1, 1), ("a", 2.0, 2, 2), ("new", 3.0, 3, 1)])
+    out = writes.conditional_put(stored, ch, "id", F.col("new_price") > 0)
+    for df in (out.state, out.errors, writes.conditional_delete(stored, ch, "id", F.col("price") > 0).state):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert ("a", 2.0, 2) in rows(out.state) and rows(out.errors) == {("new", "document does not exist", 412)}
