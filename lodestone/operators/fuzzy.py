@@ -86,17 +86,17 @@ def fuzzy_hits(
     column ``token``.  Without one the texts are read twice, for their vocabulary and for the hits, unless exact first letters leave so few
     tokens that these are kept between the two.
     """
-    found = tx.tokens(text, an)
+    found, extracted = tx.tokens(text, an), False
     if not isinstance(terms, DataFrame):
         asked = [t for term in terms for t in tx._query(term, an)]
         terms = df.sparkSession.createDataFrame([(t,) for t in asked], "term string")
         if prefix_length:
-            found = F.regexp_extract_all(an.text(text), F.lit(_heads(asked, max_edits, prefix_length)), 0)
+            found, extracted = F.regexp_extract_all(an.text(text), F.lit(_heads(asked, max_edits, prefix_length)), 0), True
     else:
         terms = cut(terms.select("term").where("term IS NOT NULL").distinct())
     tokens = df.select(F.col(key), F.explode(found).alias("token"))
     if prefix_length:
-        tokens = cut(plausible(tokens, terms, max_edits, prefix_length).distinct())
+        tokens = cut((tokens if extracted else plausible(tokens, terms, max_edits, prefix_length)).distinct())
     if words is None:
         words = tokens.select("token").distinct() if prefix_length else vocabulary(df, text, an)
     near = cut(near_tokens(words, terms, max_edits, prefix_length))
