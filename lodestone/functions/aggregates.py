@@ -59,6 +59,42 @@ def quantiles_approx(qs: Sequence[float], e, accuracy: int = 10_000) -> Column:
     return F.percentile_approx(as_col(e), F.array(*[F.lit(q) for q in _checked(qs)]), F.lit(accuracy))
 
 
+# A KLL sketch of size k names a value whose rank is off by at most 2.296 / k^0.9021 of the rows, 99 times in 100.
+KLL_FACTOR, KLL_POWER = 2.296, 0.9021
+KLL_SIZE = 200
+
+
+def quantile_error(size: int = KLL_SIZE) -> float:
+    """Rank error of a quantile state, as a share of its rows, at 99 % confidence; merging keeps it."""
+    return KLL_FACTOR / size**KLL_POWER
+
+
+def quantile_state(e, size: int = KLL_SIZE) -> Column:
+    """A sketch of a few kilobytes for any number of rows, which :func:`merged_quantile_state` can add up.
+
+    Nulls and NaN are not counted; up to about ``size`` values it is exact.  ``size`` is 8 to 65,535.
+    """
+    v = as_col(e).cast("double")
+    return F.kll_sketch_agg_double(F.nanvl(v, F.lit(None).cast("double")), F.lit(size))
+
+
+def merged_quantile_state(state="state") -> Column:
+    """The state of all rows behind a group's states."""
+    return F.kll_merge_agg_double(as_col(state))
+
+
+def state_count(state="state") -> Column:
+    """Rows that a state has seen."""
+    return F.kll_sketch_get_n_double(as_col(state))
+
+
+def state_quantiles(qs: Sequence[float], state="state") -> Column:
+    """Array of the quantiles of a state, each a value that occurs; null where it has seen no row."""
+    s = as_col(state)
+    found = F.kll_sketch_get_quantile_double(s, F.array(*[F.lit(q) for q in _checked(qs)]))
+    return F.when(F.kll_sketch_get_n_double(s) > 0, found)
+
+
 def relevance(score="relevance") -> Column:
     """Average relevance of the group's hits."""
     return F.avg(as_col(score))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.aggregates import _checked
+from lodestone.functions.aggregates import KLL_SIZE, _checked, merged_quantile_state, quantile_state, state_count, state_quantiles
 from lodestone.functions.text import as_col
 from lodestone.operators.order import number_rows, top
 from lodestone.session import cut
@@ -190,13 +190,29 @@ def group_page_after(groups: DataFrame, key: str, last, page_size: int) -> DataF
 
 def groups_and_hits(
     matched: DataFrame, keys: Mapping[str, Column | str], outputs: Mapping[str, Column], order: Sequence[Column],
-    hits: int = 10, **options,
+    hits: int = 10, *, narrow: Sequence[str] | None = None, where: Column | None = None, max_groups: int | None = None,
+    group_order: Sequence[Column] = (),
 ) -> dict[str, DataFrame]:
-    """Hits, groups and total of one request over the same matched rows."""
+    """Hits, groups and total of one request over the same matched rows.
+
+    The match is evaluated once: ``narrow`` names the columns that keys, outputs, ``where`` and order read, and only these are
+    kept.  Hits then hold them only, the caller's key among them, by which the few hits fetch the rest.  Without ``narrow`` hits hold
+    all columns and the match is evaluated twice, for them and for groups and total together.  ``where`` restricts the groups alone.
+    """
+    if narrow is not None:
+        matched = cut(matched.select(*dict.fromkeys(narrow)))
+    inside = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    based = matched.withColumns({n: as_col(c) for n, c in keys.items()}).withColumn("_in", inside)
+    # groups by key and by whether they count, so that the total of all rows comes from the same pass
+    states = based.groupBy(*keys, "_in").agg(*[c.alias(n) for n, c in outputs.items()], F.count(F.lit(1)).alias("_rows"))
+    states = states if narrow is not None else cut(states)
+    groups = states.where("_in").dropna(subset=list(keys)).select(*keys, *outputs)
+    if max_groups is not None:
+        groups = top(groups, [*group_order, *[F.col(k).asc() for k in keys]], max_groups)
     return {
         "hits": top(matched, order, hits),
-        "groups": group_by(matched, keys, outputs, **options),
-        "total": matched.agg(F.count(F.lit(1)).alias("total_count")),
+        "groups": groups,
+        "total": states.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_count")),
     }
 
 
@@ -284,3 +300,26 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
             for i, q in enumerate(qs)
         ],
     )
+
+
+# -- quantiles that add up ---------------------------------------------------------------------
+
+
+def quantile_states(df: DataFrame, keys: Sequence[str], value: Column | str, size: int = KLL_SIZE) -> DataFrame:
+    """One small mergeable state per group: partial sketches meet after the map side, whatever a group's size.
+
+    The table can be kept and appended to batch by batch; :func:`merge_quantile_states` adds up batches, or levels of keys.
+    """
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(quantile_state(value, size).alias("state"))
+
+
+def merge_quantile_states(states: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """States of fewer keys (none: of everything) from states of more keys or of several batches; no row is read again."""
+    return states.groupBy(*keys).agg(merged_quantile_state("state").alias("state"))
+
+
+def quantiles_of_states(states: DataFrame, qs: Sequence[float], prefix: str = "q") -> DataFrame:
+    """Keys, ``n`` and one column per quantile; :func:`quantile_error` states how far a rank can be off."""
+    names = [f"{prefix}{q:g}".replace(".", "_") for q in _checked(qs)]
+    found = states.withColumns({"n": state_count(), "_q": state_quantiles(qs)})
+    return found.select(*[c for c in states.columns if c != "state"], "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

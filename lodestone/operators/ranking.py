@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as tx
 from lodestone.functions.text import DEFAULT, Analyzer, as_col
-from lodestone.operators.order import top
+from lodestone.operators.order import ONE_TASK_ROWS, number_rows, top, with_position
 from lodestone.session import BROADCAST_ROWS, cut
 
 # The usual BM25 parameters.
@@ -149,19 +149,56 @@ def _bounded(best: DataFrame, count: int) -> DataFrame:
 def rerank(df: DataFrame, key: str, score: Column, count: int, phase: int = 2) -> DataFrame:
     """Re-score the best ``count`` rows; they come first, the rest keep their order.
 
-    ``phase`` holds the last phase that scored a row.  The best keys are a bounded top-k of
-    key and score only; all rows then stream past them once, and the new score is computed
-    for the marked rows alone.
+    ``phase`` holds the last phase that scored a row.  Several phases in a row belong in one :func:`phases`.
+    """
+    return phases(df, key, [(score, count)], start=phase)
+
+
+def phases(df: DataFrame, key: str, steps: Sequence[tuple[Column, int]], keep: int | None = None, start: int = 2) -> DataFrame:
+    """Score in steps: each re-scores the best ``count`` rows of the order that the step before left.
+
+    A row beyond the largest count of the first order can enter no step, so the best rows are found once, with the columns that the
+    scores read, and all steps run on them alone.  All rows then stream once past that bounded table: two scans at any number
+    of steps.  A score over long texts belongs on :func:`text_features`, or the heaps of the first scan hold the texts.
+    ``keep`` leaves a score to so many rows of the first order only; where a step takes more rows than that, unscored ones follow by
+    key, for which the kept rows are found in a scan before.  ``key`` is unique.
     """
     if "phase" not in df.columns:
         df = df.withColumn("phase", F.lit(1))
-    best = top(df, phase_order(key), count).select(key, F.lit(True).alias("_top"))
-    out = df.join(_bounded(best, count), key, "left")
-    return (
-        out.withColumn("relevance", F.when(F.col("_top"), score.cast("double")).otherwise(F.col("relevance")))
-        .withColumn("phase", F.when(F.col("_top"), phase).otherwise(F.col("phase")))
-        .drop("_top")
-    )
+    most = max([n for _, n in steps], default=0)
+    if keep is not None and (keep < most or not steps):
+        df, keep = keep_rank(df, key, keep), None
+    if not steps:
+        return df
+    most = max(most, keep or 0)
+    by = phase_order(key)
+    head = top(df, by, most)
+    if keep is not None:
+        head = _placed(head, by, most)
+        head = head.withColumn("relevance", F.when(F.col("_at") < keep, F.col("relevance"))).drop("_at")
+    for i, (score, count) in enumerate(steps):
+        if count < most:
+            head = _placed(head, by, most)
+            chosen = F.col("_at") < count
+        else:
+            chosen = F.lit(True)
+        head = head.withColumns({
+            "relevance": F.when(chosen, score.cast("double")).otherwise(F.col("relevance")),
+            "phase": F.when(chosen, F.lit(start + i)).otherwise(F.col("phase")),
+        }).drop("_at")
+    head = head.select(key, F.col("relevance").alias("_relevance"), F.col("phase").alias("_phase"))
+    out = df.join(_bounded(head, most), key, "left")
+    rest = F.lit(None).cast("double") if keep is not None else F.col("relevance")
+    inside = F.col("_phase").isNotNull()
+    return out.withColumns({
+        "relevance": F.when(inside, F.col("_relevance")).otherwise(rest),
+        "phase": F.when(inside, F.col("_phase")).otherwise(F.col("phase")),
+    }).drop("_relevance", "_phase")
+
+
+def _placed(head: DataFrame, by: Sequence[Column], most: int) -> DataFrame:
+    """``_at`` is a row's place from 0; a table that one task should not hold is numbered in ranges."""
+    return with_position(head, by, "_at", 0) if most <= ONE_TASK_ROWS else number_rows(head, by, "_at")
 
 
 def phase_order(key: str) -> list[Column]:
@@ -170,10 +207,18 @@ def phase_order(key: str) -> list[Column]:
 
 
 def keep_rank(df: DataFrame, key: str, count: int) -> DataFrame:
-    """Only the best ``count`` rows keep their score; the others stay, unscored."""
-    best = top(df, [F.col("relevance").desc(), F.col(key).asc()], count).select(key, F.lit(True).alias("_keep"))
-    out = df.join(_bounded(best, count), key, "left")
-    return out.withColumn("relevance", F.when(F.col("_keep"), F.col("relevance"))).drop("_keep")
+    """Only the best ``count`` rows keep their score; the others stay, unscored.
+
+    The score and key of the last row that keeps its score are a scalar subquery over a bounded top-k: no join, and nothing is
+    sent to every task but that pair.
+    """
+    best = top(df, [F.col("relevance").desc(), F.col(key).asc()], count).where(F.col("relevance").isNotNull())
+    # the worst score's largest key; Spark orders NaN above all numbers, as the order here does
+    worst = best.groupBy("relevance").agg(F.max(key).alias("k")).agg(F.min(F.struct("relevance", "k")).alias("last"))
+    out = df.withColumn("_last", worst.scalar())
+    score, last = F.col("relevance"), F.col("_last")
+    kept = (score > last["relevance"]) | ((score == last["relevance"]) & (F.col(key) <= last["k"]))
+    return out.withColumn("relevance", F.when(kept, score)).drop("_last")
 
 
 def match_phase(df: DataFrame, key: str, attribute: str, max_hits: int, ascending: bool = False) -> DataFrame:
@@ -242,11 +287,9 @@ def rank(df: DataFrame, key: str, profile: RankProfile, inputs: Mapping[str, obj
     if p.features:
         values = {f: env[f]() if callable(env.get(f)) else env.get(f, F.col(f)) for f in p.features}
         out = out.withColumn("match_features", match_features(**values))
-    if p.keep_count is not None:
-        out = keep_rank(out, key, p.keep_count)
-    out = out.withColumn("phase", F.lit(1))
+    steps = []
     if p.second:
-        out = rerank(out, key, p.second(env), 100 if p.second_count is None else p.second_count, 2)
+        steps.append((p.second(env), 100 if p.second_count is None else p.second_count))
     if p.global_:
-        out = rerank(out, key, p.global_(env), 100 if p.global_count is None else p.global_count, 3)
-    return out
+        steps.append((p.global_(env), 100 if p.global_count is None else p.global_count))
+    return phases(out, key, steps, p.keep_count, start=2 if p.second else 3)

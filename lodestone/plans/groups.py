@@ -302,7 +302,7 @@ def _(t):
 def _(t):
     r = grouping.groups_and_hits(
         t.orders.where("o_totalprice > 100000"), {"o_orderstatus": "o_orderstatus"}, {"n": ag.count()},
-        [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()],
+        [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], narrow=["o_orderkey", "o_orderstatus", "o_totalprice"],
     )
     none = F.lit(None).cast("bigint")
     return (
@@ -393,6 +393,32 @@ def _(t):
     return g.select("o_custkey", *[F.round(F.col("q")[i], 4).alias(n) for i, n in enumerate(["q0_25", "q0_5", "q0_95"])])
 
 
+# Four times the 99 % error: a sketch draws at random, and the twin has to hold at every run.
+STATE_SIZE, STATE_SLACK = 400, 4
+
+
+@query(
+    "N08_quantile_states",
+    """SELECT event_type, count(value) AS n, true AS q0_25, true AS q0_5, true AS q0_95 FROM events WHERE event_type IS NOT NULL GROUP BY 1
+       UNION ALL SELECT 'all', count(value), true, true, true FROM events WHERE event_type IS NOT NULL""",
+)
+def _(t):
+    """States per day and type, added up to types and to all: the rows at each quantile's rank are within the stated error."""
+    qs, names = [0.25, 0.5, 0.95], ["q0_25", "q0_5", "q0_95"]
+    events = t.events.where("event_type IS NOT NULL")
+    daily = grouping.quantile_states(events.withColumn("day", F.to_date("ts")), ["event_type", "day"], "value", STATE_SIZE)
+    types = grouping.merge_quantile_states(daily, ["event_type"])
+    every = grouping.merge_quantile_states(types).withColumn("event_type", F.lit("all"))
+    found = grouping.quantiles_of_states(types.unionByName(every), qs)
+    rows = events.select(F.explode(F.array("event_type", F.lit("all"))).alias("event_type"), "value")
+    error = F.lit(STATE_SLACK * ag.quantile_error(STATE_SIZE))
+    at_rank = lambda q, c: (F.count_if(F.col("value") < F.col(c)) <= (q + error) * F.first("n")) & (
+        F.count_if(F.col("value") <= F.col(c)) >= (q - error) * F.first("n")
+    )
+    checked = rows.join(found, "event_type").groupBy("event_type")
+    return checked.agg(F.first("n").alias("n"), *[at_rank(q, c).alias(c) for q, c in zip(qs, names)])
+
+
 @query(
     "N09_group_relevance",
     f"WITH {sql_bm25(['from', 'with'])} SELECT lang, round(avg(d.relevance), 4) AS relevance, count(*) AS n FROM d JOIN documents USING (doc_id) GROUP BY lang",

@@ -378,7 +378,25 @@ def _(t):
         SELECT p_partkey, round(CASE WHEN gn <= 10 THEN -p_size ELSE s2 END, 4) AS relevance, CASE WHEN gn <= 10 THEN 3 ELSE ph END AS phase FROM g""",
 )
 def _(t):
-    return _part_scores(ranking.rerank(second(t), "p_partkey", -F.col("p_size"), 10, phase=3), "phase")
+    steps = [(F.col("relevance") * 2 - F.col("p_size") * 3, 50), (-F.col("p_size"), 10)]
+    return _part_scores(ranking.phases(first(t.part), "p_partkey", steps), "phase")
+
+
+@query(
+    "R06_global_phase_of_kept_ranks",
+    f"""WITH f AS (SELECT *, {SQL_FIRST} AS s1, row_number() OVER (ORDER BY {SQL_FIRST} DESC, p_partkey) AS rn FROM part),
+        k AS (SELECT *, CASE WHEN rn <= 30 THEN s1 END AS s, CASE WHEN rn <= 20 THEN 2 ELSE 1 END AS ph2 FROM f),
+        p2 AS (SELECT *, CASE WHEN ph2 = 2 THEN s1 - p_size * 3 ELSE s END AS s2 FROM k),
+        g AS (SELECT *, row_number() OVER (ORDER BY ph2 DESC, s2 DESC NULLS LAST, p_partkey) AS gn FROM p2)
+        SELECT p_partkey, round(CASE WHEN gn <= 40 THEN 1000 - p_size ELSE s2 END, 4) AS relevance, CASE WHEN gn <= 40 THEN 3 ELSE ph2 END AS phase FROM g""",
+)
+def _(t):
+    """The last phase reaches beyond the rows that keep a score."""
+    p = ranking.RankProfile(
+        "kept", first=lambda q: F.col("p_retailprice") / 10 + F.col("p_size"), keep_count=30,
+        second=lambda q: F.col("relevance") - F.col("p_size") * 3, second_count=20, global_=lambda q: 1000 - F.col("p_size"), global_count=40,
+    )
+    return _part_scores(ranking.rank(t.part, "p_partkey", p), "phase")
 
 
 @query("R07_drop_limit", f"SELECT p_partkey, round({SQL_FIRST}, 4) AS relevance FROM part WHERE {SQL_FIRST} >= 120")
