@@ -11,6 +11,7 @@ from __future__ import annotations
 import unicodedata
 from dataclasses import dataclass
 from itertools import groupby
+from math import comb
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -227,11 +228,29 @@ def near(c: Column | str, terms, distance: int = 2, an: Analyzer = DEFAULT) -> C
     return _matches(an.text(c), q, start + "".join(f"(?={skip}{t}{RIGHT})" for t in q))
 
 
+# Ways to share a distance among the gaps that one pattern may spell out.
+MOST_SPLITS = 24
+
+
 def onear(c: Column | str, terms, distance: int = 2, an: Analyzer = DEFAULT) -> Column:
-    """As :func:`near`, in query order."""
+    """As :func:`near`, in query order.
+
+    Few terms close together are one pattern.  Otherwise every occurrence of the first term gives the window of ``distance`` more
+    tokens, where each further term is taken at its first place after the one before: the earliest chain ends earliest, so no other
+    need be tried, and the pattern grows with the number of terms alone.
+    """
     q = _query(terms, an)
     if distance < len(q) - 1:
         return F.lit(False)
+    text = an.text(c)
+    if comb(distance, len(q) - 1) > MOST_SPLITS:
+        window = rf"(?={q[0]}{RIGHT}){LEFT}(?=((?:{WORD}++{OTHER}*+){{1,{distance + 1}}}))"
+        chain = rf"(?s)^{q[0]}" + "".join(rf"(?>.*?{LEFT}{t}{RIGHT})" for t in q[1:])
+        # the pattern finds the windows of the rows that hold every term
+        found = F.exists(F.regexp_extract_all(text, F.lit(window), F.lit(1)), lambda w: w.rlike(chain))
+        for t in dict.fromkeys(q):
+            found = text.contains(t) & found
+        return found
 
     def rest(i: int, budget: int) -> str:
         if i == len(q):
@@ -245,7 +264,7 @@ def onear(c: Column | str, terms, distance: int = 2, an: Analyzer = DEFAULT) ->
         ]
         return "(?:" + "|".join(steps) + ")"
 
-    return _matches(an.text(c), list(dict.fromkeys(q)), _start(q[0]) + RIGHT + rest(1, distance))
+    return _matches(text, list(dict.fromkeys(q)), _start(q[0]) + RIGHT + rest(1, distance))
 
 
 def _close(t: Column, term: str, max_edits: int, prefix_length: int) -> Column:

@@ -186,6 +186,28 @@ def _(t):
     return t.documents.where(tx.onear("text", ["the", "of", "in"], 5)).select("doc_id", "lang")
 
 
+SIX = ["the", "of", "and", "in", "the", "of"]
+
+
+def _chain(words: list[str], distance: int) -> str:
+    """Documents where some first word starts a chain of earliest next words that ends within the distance."""
+    places = ", ".join(f"list_filter(range(1, len(w) + 1), lambda i: w[i] = '{x}') AS p{k}" for k, x in enumerate(words))
+    steps, last = "", "s0"
+    for k in range(1, len(words)):
+        lists = "".join(f", p{j}" for j in range(k + 1, len(words)))
+        steps += f", c{k} AS (SELECT doc_id, lang, s, list_min(list_filter(p{k}, lambda x: x > e)) AS e{lists} FROM {last})"
+        last = f"c{k}"
+    rest = "".join(f", p{j}" for j in range(1, len(words)))
+    return f"""WITH w AS (SELECT doc_id, lang, {TOK} AS w FROM documents), p AS (SELECT doc_id, lang, {places} FROM w),
+               f AS (SELECT doc_id, lang, unnest(p0) AS s{rest} FROM p), s0 AS (SELECT *, s AS e FROM f){steps}
+               SELECT DISTINCT doc_id, lang FROM {last} WHERE e - s <= {distance}"""
+
+
+@query("P16_onear_six_far", _chain(SIX, 20))
+def _(t):
+    return t.documents.where(tx.onear("text", SIX, 20)).select("doc_id", "lang")
+
+
 _where(
     "P17_equiv", "documents", DOC, lambda: tx.equiv("text", ["que", "des", "und"]), f"list_has_any({TOK}, ['que', 'des', 'und'])"
 )

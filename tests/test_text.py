@@ -70,6 +70,34 @@ def test_onear(texts, q, d):
     assert found(df, tx.onear("s", q, d)) == {i for i, s in rows if near(toks(s), q, d, True)}
 
 
+@pytest.mark.parametrize("d", [1, 3, 5, 9, 14])
+@pytest.mark.parametrize("q", [["ab", "c"], ["b", "b"], ["x", "b", "ä1"], ["c", "ab", "x", "b"], ["b", "c", "b", "x", "ab"]])
+def test_onear_by_windows(texts, q, d, monkeypatch):
+    """The form of long chains, also where the other form would do."""
+    monkeypatch.setattr(tx, "MOST_SPLITS", 0)
+    rows, df = texts
+    assert found(df, tx.onear("s", q, d)) == {i for i, s in rows if near(toks(s), q, d, True)}
+
+
+def test_long_onear_stays_a_small_plan(texts):
+    _, df = texts
+    plan = df.where(tx.onear("s", ["b", "c", "ab", "x", "b", "c"], 40))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 3_000
+
+
+def test_onear_over_lines_and_nulls(spark):
+    rows = [(1, "one\n\ntwo; three"), (2, "one x one two three"), (3, "three two one"), (4, None), (5, ""), (6, "one twos two\nthree" + " w" * 30_000)]
+    df = spark.createDataFrame(rows, "id int, s string")
+    want = {2: set(), 3: {1, 2, 6}, 10: {1, 2, 6}}
+    for d, ids in want.items():
+        for splits in (0, 100):
+            old, tx.MOST_SPLITS = tx.MOST_SPLITS, splits
+            try:
+                assert found(df, tx.onear("s", ["one", "two", "three"], d)) == (ids or {1, 2})
+            finally:
+                tx.MOST_SPLITS = old
+
+
 def test_bag_predicates(texts):
     rows, df = texts
     has = lambda *q: {i for i, s in rows if set(q) <= set(toks(s))}
