@@ -322,8 +322,15 @@ def any_field(predicate, *fields) -> Column:
 
 def term_count(c: Column | str, term, an: Analyzer = DEFAULT) -> Column:
     """Occurrences of a term (a phrase, or a list of synonyms counted as one)."""
-    rx = _equiv_rx(term, an) if isinstance(term, (list, tuple)) else _phrase_rx(_query(term, an))
-    return F.regexp_count(an.text(c), F.lit(rx))
+    if isinstance(term, (list, tuple)):
+        return F.regexp_count(an.text(c), F.lit(_equiv_rx(term, an)))
+    q, text = _query(term, an), an.text(c)
+    count = F.regexp_count(text, F.lit(_phrase_rx(q)))
+    # most texts lack a rare term, which a substring test tells sooner; a null text has a null count
+    lacks = ~text.contains(q[0])
+    for t in q[1:]:
+        lacks = lacks | ~text.contains(t)
+    return F.when(lacks, F.lit(0)).otherwise(count)
 
 
 def highlight(c: Column | str, terms) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.aggregates import KLL_SIZE, _checked, merged_quantile_state, quantile_state, state_count, state_quantiles
 from lodestone.functions.text import as_col
 from lodestone.operators.order import number_rows, top
-from lodestone.session import cut
+from lodestone.session import cut, range_count
 
 DEFAULT_MAX_GROUPS = 10
 DEFAULT_MAX_HITS = 10
@@ -178,7 +178,7 @@ def group_hits(
 
 def group_pages(groups: DataFrame, order: Sequence[Column], page_size: int) -> DataFrame:
     """All groups with their page number: no group repeats, none is missing."""
-    out = number_rows(groups, order)
+    out = number_rows(cut(groups), order)
     return out.withColumn("page", F.floor(F.col("position") / page_size))
 
 
@@ -269,10 +269,9 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
     """
     qs = _checked(qs)
     keys = list(keys)
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.dropna(subset=[*keys, value]).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = counts.repartitionByRange(n_parts, *keys, value)
+    # the counts are read to size the ranges, to draw their bounds and to fill them
+    counts = cut(df.dropna(subset=[*keys, value]).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
+    ranged = counts.repartitionByRange(range_count(counts), *keys, value)
     ranged = cut(ranged.withColumn("_part", F.spark_partition_id()))
     running = Window.partitionBy("_part", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_upto", F.sum("_n").over(running))

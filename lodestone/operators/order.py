@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.scalars import uca
 from lodestone.functions.text import as_col
-from lodestone.session import cut
+from lodestone.session import cut, range_count
 
 # Most rows a top-k may gather in one task.
 ONE_TASK_ROWS = 1_000_000
@@ -73,10 +73,10 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "position")
 
     Rows are range-partitioned and sorted once and cut to reliable storage; each
     partition then only needs the count of the partitions before it.  ``order`` must end
-    in a unique key, so that no value can fill a partition alone.
+    in a unique key, so that no value can fill a partition alone.  There are as many ranges
+    as the rows' bytes need.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(range_count(df), *order).sortWithinPartitions(*order)
     ranged = cut(ranged.withColumn("_seq", F.monotonically_increasing_id()))
     # monotonically_increasing_id: partition number above bit 33, row number below
     part = F.shiftright("_seq", 33)

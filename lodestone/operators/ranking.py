@@ -110,6 +110,21 @@ def _bm25_sum(tfs: Sequence[Column], length: Column, s: Column) -> Column:
     return score
 
 
+def bm25_scores(
+    docs: DataFrame, key: str, text: Column | str, terms: Sequence, name: str = "bm25", an: Analyzer = DEFAULT,
+    where: Column | None = None, filter_terms: Sequence[str] = (), length: Column | None = None,
+) -> DataFrame:
+    """Key and score of the hits, as :func:`bm25` scores them, from one read of the texts.
+
+    Counts of all documents are kept in a narrow table; statistics and scores are both taken from it.
+    """
+    for t in filter_terms:
+        held = tx.contains(text, t, an)
+        where = held if where is None else where & held
+    features = cut(text_features(docs, key, text, terms, an, where, length))
+    return score_features(features, len(terms), name=name).select(key, name)
+
+
 def weak_and(
     docs: DataFrame, key: str, text: Column | str, terms: Sequence, target_hits: int = 100, replace_by_and: bool = False,
     where: Column | None = None, an: Analyzer = DEFAULT, length: Column | None = None,

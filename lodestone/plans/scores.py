@@ -189,12 +189,12 @@ RARE = ["hehely", "rewh", "thatin"]
 
 @query("R01_bm25", f"WITH {sql_bm25(RARE)} SELECT doc_id, round(relevance, 4) AS bm25 FROM d")
 def _(t):
-    return ranking.bm25(t.documents, "text", RARE).select("doc_id", F.round("bm25", 4).alias("bm25"))
+    return ranking.bm25_scores(t.documents, "doc_id", "text", RARE).withColumn("bm25", F.round("bm25", 4))
 
 
 @query("R01_bm25_synonyms", f"WITH {sql_bm25(['que|und', 'from'])} SELECT doc_id, round(relevance, 4) AS bm25 FROM d")
 def _(t):
-    return ranking.bm25(t.documents, "text", [["que", "und"], "from"]).select("doc_id", F.round("bm25", 4).alias("bm25"))
+    return ranking.bm25_scores(t.documents, "doc_id", "text", [["que", "und"], "from"]).withColumn("bm25", F.round("bm25", 4))
 
 
 def sql_top(k: int, where: str = "true") -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -12,6 +13,11 @@ from pyspark.sql import types as T
 # Rows and bytes a side may have before it is no longer sent to every executor.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+# Bytes of one range of a numbered or sorted layout.
+RANGE_BYTES = 128 << 20
+# Rows whose width is measured for a layout, and rows a range has at least where cores are free.
+WIDTH_ROWS = 10_000
+SPREAD_ROWS = 20_000
 
 
 def session(app: str = "lodestone", master: str | None = None, **conf: str) -> SparkSession:
@@ -75,6 +81,19 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
+def range_count(df: DataFrame) -> int:
+    """How many ranges of ``RANGE_BYTES`` a table fills: its rows by the mean width of its first 10,000.
+
+    Ten times the rows make ten times the ranges, whatever ``spark.sql.shuffle.partitions`` says; smaller tables are spread over the
+    session's cores.  Only the layout depends on it, never a result.  The rows are counted by a scan of the columns that the plan's
+    filters read; cut a table first that is dear to compute.
+    """
+    rows = df.count()
+    width = df.limit(WIDTH_ROWS).agg(F.avg(_row_bytes(df))).first()[0] or 8
+    spread = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SPREAD_ROWS))
+    return max(1, spread, math.ceil(rows * width / RANGE_BYTES))
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` is within both bounds; reads no more than ``rows + 1`` rows."""
     seen = df.select(_row_bytes(df).alias("b")).limit(rows + 1).agg(F.count(F.lit(1)), F.sum("b")).first()

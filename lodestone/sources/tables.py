@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.session import small_side
+from lodestone.session import range_count, small_side
 
 
 @dataclass(frozen=True)
@@ -119,11 +119,11 @@ def write_located(df: DataFrame, path: str, location: str, key: str, buckets: in
 
     A hash keeps the folder count fixed however many users there are.  The write is spread
     over all tasks by location and ``key``, the document's own, so one hot location is cut
-    into several files.  The folder count is part of the layout, so readers need not know it.
+    into several files, as many in all as the bytes need.  The folder count is part of the layout, so readers need not know it.
     """
     layout = {"_location": F.col(location), "_buckets": F.lit(buckets), "_loc": slice_of(location, buckets).cast("int")}
     out = df.withColumns(layout)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(range_count(df), df.sparkSession.sparkContext.defaultParallelism)
     out.repartitionByRange(n, "_loc", "_location", key).sortWithinPartitions("_loc", "_location").write.partitionBy(
         "_buckets", "_loc"
     ).mode("overwrite").parquet(path)

@@ -142,3 +142,29 @@ def test_quantile_states_of_odd_values(spark):
     assert grouping.quantiles_of_states(empty, [0.5]).count() == 0
     with pytest.raises(ValueError):
         ag.state_quantiles([])
+
+
+def test_bm25_scores_as_bm25_from_one_read(spark, folder):
+    rows = [(1, "red lamp and red shade", "a"), (2, "lamp", "b"), (3, None, "a"), (4, "", "a"), (5, "green shade; RED door", "b"), (6, "redder lamps", "a")]
+    df = spark.createDataFrame(rows, "id int, s string, kind string")
+    for terms in (["red", "lamp"], [["red", "green"], "shade"], ["red shade"], ["absent"]):
+        for options in ({}, {"where": F.col("kind") == "a"}, {"filter_terms": ["shade"]}):
+            want = {r["id"]: round(r["bm25"], 9) for r in ranking.bm25(df, "s", terms, **options).collect()}
+            got = ranking.bm25_scores(df, "id", "s", terms, **options).collect()
+            assert {r["id"]: round(r["bm25"], 9) for r in got} == want and len(got) == len(want)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert scans(ranking.bm25_scores(docs, "doc_id", "text", ["the", "of"])) == 0  # only the kept counts are left to read
+
+
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    from lodestone import session
+
+    monkeypatch.setattr(session, "RANGE_BYTES", 1 << 20)
+    table = lambda n: spark.range(n).select("id", F.repeat(F.lit("x"), 92).alias("s"))
+    small, large = session.range_count(table(100_000)), session.range_count(table(1_000_000))
+    assert small == 10 and large == 96
+    numbered = grouping.group_pages(table(100_000), [F.col("id").desc()], 1000)
+    assert numbered.where("position <> 99999 - id").count() == 0
+    assert session.range_count(table(0)) == 1
+    monkeypatch.setattr(session, "RANGE_BYTES", 128 << 20)
+    assert session.range_count(table(100_000)) == 5  # cores are used where rows are few
