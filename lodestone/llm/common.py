@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,30 @@ def row_key(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name`` with as many underscores behind it as make it differ from the taken ones in any case."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with every column that begins with two underscores, as this package's own working columns do, under another name,
+    and the name of each column there."""
+    names: dict[str, str] = {}
+    for c in docs.columns:
+        names[c] = free_name(f"kept{c}", [*docs.columns, *names.values()]) if c.startswith("__") else c
+    moved = {c: n for c, n in names.items() if c != n}
+    return (docs.withColumnsRenamed(moved) if moved else docs), names
+
+
+def given_back(out: DataFrame, names: dict[str, str], own: Iterable[str] = ()) -> DataFrame:
+    """The caller's columns under their names, then the operator's ``own``, with underscores behind a name that the caller has."""
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return out.select(*[quoted(n).alias(c) for c, n in names.items()], *[F.col(c).alias(free_name(c, names)) for c in own])
+
+
 def unit(h: Column) -> Column:
     """A 64-bit hash as a number in [0, 1)."""
     return F.shiftrightunsigned(h, 11).cast("double") * F.lit(2.0**-53)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import U, hashes, mix, row_key, store
+from lodestone.llm.common import U, apart, given_back, hashes, mix, row_key, store
 from lodestone.session import small_side
 
 WINDOW = 2  # lines whose hashes are rolled together
@@ -131,12 +131,14 @@ def repeated_chunks(
 
 def without_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with repeated chunks of lines cut from the text, and behind their own columns ``__lines`` and ``__removed``,
-    the numbers of lines before and cut.
+    the numbers of lines before and cut. Where the caller has a column of such a name, it keeps it and ours gets an underscore behind.
 
     Lines end at line feeds. A null text stays null and has no lines; an empty text has one. Single lines are never cut. Rows that
     are equal throughout are one document and are cut alike, so a repeated row loses nothing to its own copy. A chunk that is
     repeated within one document stays at its first place. Very long texts are chunked whole. An empty table gives no rows.
     """
+    docs, names = apart(docs)
+    id_col, text_col = names[id_col], names[text_col]
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     gone = repeated_chunks(docs, id_col, text_col).groupBy("k1", "k2").agg(
         F.flatten(F.collect_list(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1))).alias("__gone")
@@ -146,11 +148,12 @@ def without_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: s
     out = keyed.join(gone, (keyed["__k1"] == gone["__g1"]) & (keyed["__k2"] == gone["__g2"]), "left")
     text = F.col(text_col)
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    return out.withColumns({
+    out = out.withColumns({
         "__lines": F.when(text.isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1),
         "__removed": F.coalesce(F.size("__gone"), F.lit(0)),
         text_col: F.when(F.col("__gone").isNull(), text).otherwise(left),
-    }).select(*docs.columns, "__lines", "__removed")
+    })
+    return given_back(out, names, ["__lines", "__removed"])
 
 
 def _without_lines(text: Column, gone: Column) -> Column:
@@ -181,6 +184,8 @@ def without_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str
     earlier place, so the first of equal lines always stays. A line repeated without a neighbour stays.
     Otherwise as ``without_repeated_chunks``.
     """
+    docs, names = apart(docs)
+    id_col, text_col = names[id_col], names[text_col]
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     at = repeated_chunks(docs, id_col, text_col, line_pairs)
     gone = at.groupBy("k1", "k2").agg(F.collect_list("pos").alias("__at"))
@@ -189,8 +194,9 @@ def without_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keyed = docs.withColumns({"__k1": k1, "__k2": k2})
     out = keyed.join(gone, (keyed["__k1"] == gone["__g1"]) & (keyed["__k2"] == gone["__g2"]), "left")
     text = F.col(text_col)
-    return out.withColumn("__left", _without_lines(text, F.col("__gone"))).withColumns({
+    out = out.withColumn("__left", _without_lines(text, F.col("__gone"))).withColumns({
         "__lines": F.when(text.isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1),
         "__removed": F.coalesce(F.size("__gone"), F.lit(0)),
         text_col: F.when(F.col("__gone").isNull(), text).otherwise(F.col("__left")),
-    }).select(*docs.columns, "__lines", "__removed")
+    })
+    return given_back(out, names, ["__lines", "__removed"])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestone.llm.common import U, hashes, plain_words, row_key, store, unit
+from lodestone.llm.common import U, apart, given_back, hashes, plain_words, row_key, store, unit
 from lodestone.session import small_side
 
 TOPICS = 8
@@ -77,7 +77,8 @@ def calibrated(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: Sequence[str] = ("source", "lang"),
     power: float = 0.7, fraction: float = 0.7, seed: int = 5, topics: int = TOPICS, targets: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Every row with ``__tokens, __topic, __probability, __sampled`` behind its own columns.
+    """Every row with ``__tokens, __topic, __probability, __sampled`` behind its own columns; where the caller has a column of such
+    a name, it keeps it and ours gets an underscore behind.
 
     Target shares are the tempered token shares of each column of ``by`` and of the topic, or those of ``targets`` (keys as ``by``
     and ``topic``). A row is sampled if the hash of its id and text, as a number in [0, 1), is below its cell's weight over
@@ -86,35 +87,49 @@ def calibrated(
     A null value of ``by`` is a value of its own. Rows without words have no tokens to weigh: probability 1. An empty table gives
     no rows.
     """
+    out, names = _calibrated(docs, id_col, text_col, by, power, fraction, seed, topics, targets)
+    return given_back(out, names, ["__tokens", "__topic", "__probability", "__sampled"])
+
+
+def _calibrated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: Sequence[str] = ("source", "lang"),
+    power: float = 0.7, fraction: float = 0.7, seed: int = 5, topics: int = TOPICS, targets: dict[str, DataFrame] | None = None,
+) -> tuple[DataFrame, dict[str, str]]:
+    """:func:`calibrated` before the caller's columns get their names back, and their names there."""
+    targets = targets or {}
+    docs, names = apart(docs)
+    id_col, text_col, columns = names[id_col], names[text_col], [names[c] for c in by]
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     marked = docs.withColumn("__m", topic_and_tokens(F.col(text_col), topics)).withColumns(
         {"__tokens": F.col("__m.tokens"), "__topic": F.col("__m.topic")}
     ).drop("__m")
-    names = [f"b{i}" for i in range(len(by))]
-    cells = marked.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col("__topic").alias("topic")).agg(F.sum("__tokens").alias("tokens"))
+    parts = [f"b{i}" for i in range(len(by))]
+    cells = marked.groupBy(*[F.col(c).alias(n) for c, n in zip(columns, parts)], F.col("__topic").alias("topic")).agg(F.sum("__tokens").alias("tokens"))
     cells = store(cells.where("tokens > 0"), "tokens-by-cell")
     goals = {}
-    for column, name in [*zip(by, names), ("topic", "topic")]:
-        given = (targets or {}).get(column)
+    for column, name in [*zip(by, parts), ("topic", "topic")]:
+        given = targets.get(column)
         goals[name] = given.select(F.col(column).alias(name), "share") if given is not None else tempered(cells, name, power)
-    share = rake(cells, goals, fraction).select(*[F.col(n).alias(f"__{n}") for n in names], F.col("topic").alias("__t"), (F.col("w") / F.col("tokens")).alias("__p"))
+    share = rake(cells, goals, fraction).select(*[F.col(n).alias(f"__{n}") for n in parts], F.col("topic").alias("__t"), (F.col("w") / F.col("tokens")).alias("__p"))
     share = small_side(share)
     on = F.col("__topic") == F.col("__t")
-    for column, name in zip(by, names):
+    for column, name in zip(columns, parts):
         on &= marked[column].eqNullSafe(share[f"__{name}"])
-    out = marked.join(share, on, "left").drop("__t", *[f"__{n}" for n in names])
+    out = marked.join(share, on, "left").drop("__t", *[f"__{n}" for n in parts])
     out = out.withColumn("__probability", F.when(F.col("__tokens") > 0, F.coalesce("__p", F.lit(0.0))).otherwise(1.0)).drop("__p")
-    return out.withColumn("__sampled", unit(F.xxhash64(F.lit(seed), k1, k2)) < F.col("__probability"))
+    return out.withColumn("__sampled", unit(F.xxhash64(F.lit(seed), k1, k2)) < F.col("__probability")), names
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """Per row ``doc_id, source, lang, topic, tokens, probability, sampled``."""
-    return calibrated(docs, id_col, **how).select(
-        F.col(id_col).alias("doc_id"), "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
+    out, names = _calibrated(docs, id_col, **how)
+    return out.select(
+        F.col(names[id_col]).alias("doc_id"), "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
         F.col("__probability").alias("probability"), F.col("__sampled").alias("sampled"),
     )
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The sampled rows with their own columns."""
-    return calibrated(docs, id_col, **how).where("__sampled").select(*docs.columns)
+    out, names = _calibrated(docs, id_col, **how)
+    return given_back(out.where("__sampled"), names)

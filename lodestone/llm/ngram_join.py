@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import U, hashes, mix, ngrams, row_key, store, words
+from lodestone.llm.common import U, apart, given_back, hashes, mix, ngrams, row_key, store, words
 from lodestone.llm.components import components
 from lodestone.session import small_side
 
@@ -342,7 +342,10 @@ def near_copies(
 
 
 def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One row of each component, the one with the smallest id (nulls last); rows without words all stay. All columns are kept."""
+    """One row of each component, the one with the smallest id (nulls last); rows without words all stay. All columns are kept,
+    whatever their names."""
+    docs, names = apart(docs)
+    id_col, text_col = names[id_col], names[text_col]
     sketch, labels = links(docs, n, percent, id_col, text_col, **how)
     rows = sketch.where("n > 0").join(labels.select("sid", "label"), "sid")
     order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("k1"), F.col("k2"))
@@ -355,4 +358,4 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     on = lambda k: (F.col("__k1") == k["k1"]) & (F.col("__k2") == k["k2"])
     gone, twice = small_side(keys.select("k1", "k2")), small_side(keys.where("stays").select("k1", "k2"))
     once = keyed.join(twice, on(twice), "left_semi").dropDuplicates(["__k1", "__k2"])
-    return keyed.join(gone, on(gone), "left_anti").unionByName(once).select(*docs.columns)
+    return given_back(keyed.join(gone, on(gone), "left_anti").unionByName(once), names)
