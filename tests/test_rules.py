@@ -57,6 +57,27 @@ def test_many_queries(spark, monkeypatch, most_kinds):
     assert want and len(pairs) == len(set(pairs)) and set(pairs) == want
 
 
+@pytest.mark.parametrize("rule_copies,query_copies", [(30, 1), (1, 30), (12, 20)])
+def test_equal_rules_and_queries_are_matched_once(spark, rule_copies, query_copies):
+    rng = random.Random(5)
+    rs, qs = rules(rng, 40), []
+    for i in range(20):
+        attrs = {k: rng.choice(["u", "v", "z"]) for k in ("a0", "a1") if rng.random() < 0.7}
+        qs.append((i, attrs if i else None, {k: rng.choice([-299, -5, 3, 90010]) for k in ("n0", "n1") if rng.random() < 0.7}))
+    rdf = spark.createDataFrame([(c * 1000 + i, r) for i, r in rs for c in range(rule_copies)], f"rid int, rules {pr.RULE_TYPE}")
+    qdf = spark.createDataFrame([(c * 1000 + i, a, n) for i, a, n in qs for c in range(query_copies)], "qid int, attrs map<string,string>, nums map<string,bigint>")
+    out = matching.match_rules(rdf, "rules", qdf, "attrs", "nums", 3)
+    assert out.columns == ["qid", "attrs", "nums", "rid", "rules"]
+    pairs = [(r["qid"], r["rid"]) for r in out.collect()]
+    one = matching._match_rows(rdf.where("rid < 1000"), "rules", qdf.where("qid < 1000"), "attrs", "nums").collect()
+    met = {(r["qid"], r["rid"]) for r in one}
+    assert {(q, r) for q, r in met if q} == {(q, r) for q, a, n in qs if q for r, c in rs if accepts(c, a, n)}
+    assert set(pairs) == {(x * 1000 + q, y * 1000 + r) for q, r in met for x in range(query_copies) for y in range(rule_copies)}
+    assert len(pairs) == len(met) * rule_copies * query_copies
+    # the rules are checked on classes, however many rows these have
+    assert matching.match_classes(rdf, "rules", qdf, "attrs", "nums").count() <= len(met)
+
+
 def test_one_query(spark):
     rs = rules(random.Random(3), 80)
     rdf = spark.createDataFrame(rs, f"rid int, rules {pr.RULE_TYPE}")
