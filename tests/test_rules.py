@@ -119,3 +119,27 @@ def test_a_stream_meets_rules_of_a_kind_added_later(spark, tmp_path):
         assert {(r.qid, r.rid) for r in spark.table("later_rules").collect()} == {(1, 1), (2, 1), (2, 2)}
     finally:
         run.stop()
+
+
+def test_standing_queries_store_a_hit_a_class(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from lodestone.plans import REGISTRY, streams
+    from lodestone.plans.registry import Tables
+
+    folder = "/root/testdata/sf0.001"
+    few = Tables(spark, folder)
+    suppliers = few.supplier.count()
+    few.supplier.crossJoin(spark.range(20).withColumnRenamed("id", "copy")).withColumn("s_suppkey", F.col("s_suppkey") + F.col("copy") * 1000).drop("copy").write.parquet(f"{tmp_path}/supplier.parquet")
+    few.events.write.parquet(f"{tmp_path}/events.parquet")
+    paths = []
+    real = streams.scratch_path
+    monkeypatch.setattr(streams, "scratch_path", lambda s, name: paths.append(real(s, name)) or paths[-1])
+    found = REGISTRY["W03_standing_queries"].build(Tables(spark, str(tmp_path)))
+    want = duckdb.connect()
+    for name in ("supplier", "events"):
+        want.execute(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    pairs = sorted(want.execute(REGISTRY["W03_standing_queries"].sql).fetchall())
+    assert suppliers and sorted(map(tuple, found.collect())) == pairs
+    stored = spark.read.parquet(next(p for p in paths if "/standing-" in p)).count()
+    assert stored <= len(pairs) / 20
