@@ -105,3 +105,21 @@ def test_few_or_no_rows(spark):
         assert nearest_join(one, "id", "v", one.where("false"), "id", "v", 5, broadcast_rows=rows).collect() == []
     with pytest.raises(ValueError):
         nearest_join(one, "id", "v", one, "id", "v", 5, "taxicab")
+
+
+def test_a_query_is_sent_once_to_a_region(spark):
+    m = np.random.default_rng(3).standard_normal((1500, 24)).astype("f4")  # without structure: bounds rule out next to nothing
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id long, v array<float>")
+    b, q = (df.select(F.col("id").alias(f"{c}_id"), F.col("v").alias(f"{c}_vec")) for c in "bq")
+    join = knn.Join(b, q, 5, knn.Space("euclidean"), 24, 10, 1500)
+    assert len(join.cells) > 100 and len(join.regions) <= 2 * join.pieces
+    homes = join._in_cells(q, "q_id", "q_vec", False)
+    reach = knn.best(join.asked(homes), 5).groupBy("q_id").agg(F.max("gap").alias("reach"))
+    rest = join.others(homes, reach, by_region=True)
+    assert rest.count() <= 1500 * len(join.regions) < join.others(homes, reach).count() / 3
+    hits = nearest_join(df, "id", "v", df, "id", "v", 5, broadcast_rows=0, cell_rows=10).collect()
+    want = {i: np.lexsort((np.arange(1500), np.linalg.norm(m.astype("f8") - v.astype("f8"), axis=1)))[:5].tolist() for i, v in enumerate(m)}
+    got = {i: [0] * 5 for i in want}
+    for r in hits:
+        got[r.query_id][r.hit_rank - 1] = r.neighbour_id
+    assert got == want
