@@ -12,6 +12,9 @@ only between different components of one list. No link between different compone
 In the second step a pair is made only if the parity bits of both allow a link: bit i of a set says whether an odd number of its
 tokens has hash i, so two sets differ in at least as many tokens as bits. A group keeps which bits are set in all of its sets and
 which in any. The test is part of the join's condition; it is exact, and most variants of one text that do not link fail it.
+
+A pair that shares many tokens is made at few of them. Each posting names the tokens that its group posts just before it; where both
+sides name one and the same, the pair is left to that earlier list. At the first token that two groups share none is named by both.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import U, apart, given_back, hashes, mix, ngrams, row_key, store, words
@@ -31,6 +34,7 @@ from lodestone.session import small_side
 COMMON = 20  # a token that more groups have in their window than this is common
 PARITY_WORDS = 4  # parity bits of a set, in words of 64
 BITS = [f"bits{i}" for i in range(PARITY_WORDS)]
+EARLIER = 4  # tokens before it that a posting names, so that a pair is made once and not at each shared token
 COMMON_TOKENS = 1 << 20  # of those the most frequent are sent to every task: 8 MB; the order is only a matter of speed
 
 
@@ -190,6 +194,10 @@ def _near_sizes(a: Column, b: Column, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def _bits(kind: str, side: str) -> list[Column]:
+    return [F.col(f"{kind}{c}_{side}") for c in BITS]
+
+
 def _parity_allows(sizes: Column, all_a: list[Column], any_a: list[Column], all_b: list[Column], any_b: list[Column], percent: int) -> Column:
     """Whether so few bits are surely different that a pair with this sum of sizes can be linked."""
     most = sizes - 2 * F.ceil(sizes * percent / (100 + percent) - 1e-9)
@@ -250,6 +258,32 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percen
     return both.select("a", "b", "ta", "tb").mapInArrow(judge, "a bigint, b bigint")
 
 
+def _lists(postings: DataFrame) -> DataFrame:
+    """The postings of tokens that two groups or more have, each with its list's anchor ``ag, an``. The rows are shuffled once."""
+    of_token = Window.partitionBy("token")
+    anchor = F.min(F.struct(F.xxhash64("gid").alias("h"), F.col("gid"), F.col("n"))).over(of_token)
+    rows = postings.select("token", "gid", "n", F.count(F.lit(1)).over(of_token).alias("df"), anchor.alias("anchor"))
+    return rows.where("df > 1").select("token", "gid", "n", F.col("anchor.gid").alias("ag"), F.col("anchor.n").alias("an"))
+
+
+def _with_earlier(entry: DataFrame, earlier: int) -> DataFrame:
+    """``entry(token, gid, label, ..)`` with the tokens of the same group and component just before, in the order of tokens."""
+    before = Window.partitionBy("gid", "label").orderBy("token").rowsBetween(-earlier, -1)
+    return entry.withColumn("earlier", F.collect_list("token").over(before))
+
+
+def _across(entry: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``ga, gb`` of groups that share a token in different components and may link, by ``_with_earlier`` rows with the
+    parity bits of their part. A pair has a row at the first token that it shares and at later ones only where none is named twice."""
+    end = lambda s: entry.select("token", *[F.col(c).alias(f"{c}_{s}") for c in entry.columns if c != "token"])
+    fits = _parity_allows(F.col("n_x") + F.col("n_y"), *[_bits(kind, s) for s in "xy" for kind in ("all_", "any_")], percent)
+    pairs = end("x").join(end("y"), "token").where(
+        (F.col("label_x") < F.col("label_y")) & (F.col("gid_x") != F.col("gid_y")) & _near_sizes(F.col("n_x"), F.col("n_y"), percent) & fits
+        & ~F.arrays_overlap("earlier_x", "earlier_y")
+    )
+    return pairs.select(F.least("gid_x", "gid_y").alias("ga"), F.greatest("gid_x", "gid_y").alias("gb"))
+
+
 def links(
     docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
     common: int = COMMON, common_tokens: int = COMMON_TOKENS,
@@ -259,22 +293,21 @@ def links(
     ``first`` is the smallest id of the component's rows. Sets without any link are their own component. Rows without words
     have n = 0 and no set.
     """
-    sketch = store(sketches(docs, n, percent, id_col, text_col), "sketch")
-    sets = sketch.where("n > 0").groupBy("sid").agg(
-        F.min("id").alias("id"), F.min("k1").alias("k1"), F.first("n").alias("n"), F.first("win").alias("win"),
+    sketch = sketches(docs, n, percent, id_col, text_col).withColumn("gid", F.xxhash64("n", "win"))
+    sketch = store(sketch, "sketch")
+    filled = sketch.where("n > 0")
+    # windows go to the groups only
+    sets = store(filled.groupBy("sid").agg(
+        F.min("id").alias("id"), F.min("k1").alias("k1"), F.first("n").alias("n"), F.first("gid").alias("gid"),
         *[F.first(c).alias(c) for c in BITS],
-    )
-    sets = store(sets.withColumn("gid", F.xxhash64("n", "win")), "sets")
-    groups = store(sets.groupBy("gid").agg(F.min("sid").alias("leader"), F.first("n").alias("n"), F.first("win").alias("win")), "groups")
+    ), "sets")
+    groups = store(filled.groupBy("gid").agg(F.min("sid").alias("leader"), F.first("n").alias("n"), F.first("win").alias("win")), "groups")
     in_windows = _common_tokens(groups.select(F.explode("win").alias("token")), common, common_tokens)
     postings, mostly_common = _postings(groups, percent, in_windows)
     whole = store(sets.select("gid", "k1").join(mostly_common, "gid"), "mostly-common")
     whole = _fetched(docs, whole, id_col, text_col, "mostly-common-texts")
     postings = postings.unionByName(store(_whole_postings(whole, n, percent, common, common_tokens), "whole-postings"))
-    anchors = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("df"), F.min(F.struct(F.xxhash64("gid").alias("h"), F.col("gid"), F.col("n"))).alias("anchor")
-    ).where("df > 1").select("token", F.col("anchor.gid").alias("ag"), F.col("anchor.n").alias("an"))
-    lists = store(postings.join(anchors, "token"), "lists")
+    lists = store(_lists(postings), "lists")
 
     # every group with its list's anchor, every set with its group's leader
     stars = lists.where((F.col("gid") != F.col("ag")) & _near_sizes(F.col("n"), F.col("an"), percent))
@@ -298,18 +331,12 @@ def links(
     )
     entry = lists.select("token", "gid", "n").join(parts.select("gid", "label"), "gid")
     mixed = entry.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-    entry = store(entry.join(mixed, "token").join(parts, ["gid", "label"]), "mixed-lists")
-    end = lambda s: entry.select("token", *[F.col(c).alias(f"{c}_{s}") for c in entry.columns if c != "token"])
-    of = lambda kind, s: [F.col(f"{kind}{c}_{s}") for c in BITS]
-    fits = _parity_allows(F.col("n_x") + F.col("n_y"), of("all_", "x"), of("any_", "x"), of("all_", "y"), of("any_", "y"), percent)
-    across = end("x").join(end("y"), "token").where(
-        (F.col("label_x") < F.col("label_y")) & (F.col("gid_x") != F.col("gid_y")) & _near_sizes(F.col("n_x"), F.col("n_y"), percent) & fits
-    )
-    across = across.select(F.least("gid_x", "gid_y").alias("ga"), F.greatest("gid_x", "gid_y").alias("gb")).distinct()
+    entry = _with_earlier(entry.join(mixed, "token"), EARLIER).join(parts, ["gid", "label"])
+    across = _across(store(entry, "mixed-lists"), percent).distinct()
     split = parts.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     own = split.select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
     side = lambda s: member.select(F.col("gid").alias(f"g{s}"), F.col("sid").alias(s), F.col("label").alias(f"l{s}"), F.col("n").alias(f"n{s}"), *[F.col(c).alias(f"{c}_{s}") for c in BITS])
-    may = _parity_allows(F.col("na") + F.col("nb"), of("", "a"), of("", "a"), of("", "b"), of("", "b"), percent)
+    may = _parity_allows(F.col("na") + F.col("nb"), *[_bits("", s) for s in "aabb"], percent)
     rest = (
         _possible(across, groups, percent).unionByName(own)
         .join(side("a"), "ga").join(side("b"), "gb")
@@ -321,7 +348,7 @@ def links(
     named = sets.select("sid", "id").join(label.select(F.col("node").alias("sid"), "label"), "sid", "left")
     named = named.withColumn("label", F.coalesce("label", "sid"))
     smallest = named.groupBy("label").agg(F.min("id").alias("first"))
-    return sketch.drop("win", *BITS), store(named.select("sid", "label").join(smallest, "label"), "labels")
+    return sketch.drop("gid", "win", *BITS), store(named.select("sid", "label").join(smallest, "label"), "labels")
 
 
 def near_copies(

@@ -217,6 +217,33 @@ def test_jaccard_components(spark, docs, none, n, percent, common):
     assert ngram_join.near_copies(none, n, percent).count() == 0
 
 
+def test_a_pair_is_not_made_at_each_shared_token(spark, monkeypatch):
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(240)]
+    rows = []
+    for i in range(70):  # every two share many tokens of their prefixes, few of them link
+        w = list(base)
+        for at in rng.sample(range(240), rng.choice([2, 9, 10, 11])):
+            w[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(w)))
+    kept, keep = {}, ngram_join.store
+
+    def store(df, name):
+        kept[name] = keep(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(ngram_join, "store", store)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.near_copies(docs, 3, 80)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute_join(rows, 3, 80))
+    entry = kept["mixed-lists"]
+    made = ngram_join._across(entry, 80)
+    pairs = made.distinct()
+    assert pairs.count() > 300 and made.count() < 2 * pairs.count()
+    at_each = ngram_join._across(entry.withColumn("earlier", F.array().cast("array<bigint>")), 80)
+    assert at_each.count() > 5 * pairs.count() and at_each.distinct().exceptAll(pairs).count() == 0
+
+
 # -- 4 ----------------------------------------------------------------------------------------------
 
 
