@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import predicates as pr
 from lodestone.operators import matching
-from lodestone.streaming.standing import standing_matches
+from lodestone.streaming.standing import holders, standing_matches
 
 BIG = 2**62
 
@@ -78,6 +78,56 @@ def test_equal_rules_and_queries_are_matched_once(spark, rule_copies, query_copi
     assert matching.match_classes(rdf, "rules", qdf, "attrs", "nums").count() <= len(met)
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("rule_copies,query_copies", [(90, 50), (40, 70)])
+def test_pairs_of_classes_are_written_by_many_even_tasks(spark, monkeypatch, small, rule_copies, query_copies):
+    monkeypatch.setattr(matching, "PACK_ROWS", 16)
+    if not small:
+        monkeypatch.setattr(matching, "is_small", lambda df: False)
+    rs = [(1, [("a0", False, ["u"], None, None)]), (2, [("a0", False, ["u", "v"], None, None), ("n0", False, None, 0, 9)])]
+    qs = [(1, {"a0": "u"}, {"n0": 5}), (2, {"a0": "v"}, {"n0": 5}), (3, {"a0": "u"}, {"n0": 50})]
+    rdf = spark.createDataFrame([(c * 10 + i, r) for i, r in rs for c in range(rule_copies)], f"id int, rules {pr.RULE_TYPE}")
+    qdf = spark.createDataFrame([(c * 10 + i, a, n) for i, a, n in qs for c in range(query_copies)], "id int, attrs map<string,string>, nums map<string,bigint>")
+    out = matching.match_rules(rdf, "rules", qdf, "attrs", "nums", 3)
+    # columns of one name on both sides stay apart
+    assert out.columns == ["id", "attrs", "nums", "id", "rules"]
+    out = out.toDF("qid", "attrs", "nums", "rid", "rules")
+    want = {(c * 10 + q, d * 10 + r) for q, a, n in qs for r, k in rs if accepts(k, a, n) for c in range(query_copies) for d in range(rule_copies)}
+    rows = out.collect()
+    assert len(rows) == len(want) and {(x.qid, x.rid) for x in rows} == want
+    assert all(accepts([tuple(k) for k in x.rules], x.attrs, x.nums) for x in rows)
+    tasks = [x["count"] for x in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= 6 and max(tasks) <= len(rows) / 3
+
+
+def test_holders_are_written_by_many_even_tasks(spark, tmp_path):
+    rdf = spark.createDataFrame([(c * 10 + i, [("a0", False, [v], None, None)]) for i, v in enumerate("uv") for c in range(30)], f"rid int, rules {pr.RULE_TYPE}")
+    classes = matching.with_class(rdf, "rules").select("rules", "_class").dropDuplicates(["_class"]).select("_class")
+    hits = spark.range(2000).withColumnRenamed("id", "doc").crossJoin(classes)
+    hits.coalesce(1).write.parquet(f"{tmp_path}/hits")
+    out = holders(spark.read.parquet(f"{tmp_path}/hits"), rdf, "rules")
+    assert out.columns == ["doc", "rid", "rules"]
+    assert out.count() == out.select("doc", "rid").distinct().count() == 2000 * 60
+    tasks = [x["count"] for x in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= spark.sparkContext.defaultParallelism and max(tasks) <= 2000 * 60 / len(tasks) * 3
+
+
+def test_event_stream_has_several_files_a_batch(spark, monkeypatch):
+    from lodestone.plans import streams
+    from lodestone.plans.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    few = streams.event_stream(t)
+    monkeypatch.setattr(streams, "range_count", lambda df: 4)
+    many = streams.event_stream(t)
+    for stream, files in ((few, 1), (many, 4)):
+        seen = []
+        run = stream.writeStream.foreachBatch(lambda b, i: seen.append((len(b.inputFiles()), b.count()))).trigger(availableNow=True).start()
+        run.awaitTermination()
+        assert len(seen) == 3 and sum(n for _, n in seen) == t.events.count()
+        assert all(f in (0, files) for f, _ in seen)
+
+
 def test_one_query(spark):
     rs = rules(random.Random(3), 80)
     rdf = spark.createDataFrame(rs, f"rid int, rules {pr.RULE_TYPE}")
